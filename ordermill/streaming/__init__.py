@@ -1,0 +1 @@
+"""Nothing here: orders arrive as a daily batch, so there is no streaming job."""
