@@ -98,7 +98,7 @@ def loyalty_category_preference(items: DataFrame, loyalty: DataFrame) -> DataFra
         F.max("total_revenue").alias("top_revenue"),
         F.max(F.when(F.col("total_revenue").isNotNull(), best_first)).alias("best"),
     )
-    return per_segment.join(totals, "frequency_segment").select(
+    return per_segment.join(F.broadcast(totals), "frequency_segment").select(
         "frequency_segment",
         "itemcategory",
         "total_revenue",

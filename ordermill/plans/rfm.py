@@ -39,9 +39,11 @@ def rfm(order_facts: DataFrame, method: str = "exact", ordered: bool = True) ->
     limits = quantiles(
         shared(base),
         {
-            f"{short}_p{p}": (measure, f"0.{p}")
-            for short, measure in (("r", "recency_days"), ("f", "frequency"), ("m", "monetary"))
-            for p in (33, 66)
+            "r_p33": ("recency_days", "0.33"),
+            "r_p66": ("recency_days", "0.66"),
+            "f_p33": ("frequency", "0.33"),
+            "f_p66": ("frequency", "0.66"),
+            "m_p66": ("monetary", "0.66"),
         },
         method,
     )

@@ -12,11 +12,15 @@ from ordermill.functions.amounts import mean_money, money
 
 
 def sales_daily(daily_clv: DataFrame, date_dim: DataFrame, ordered: bool = False) -> DataFrame:
-    """One row per order with its calendar day, if it has one. The global sort by date is optional."""
+    """One row per order with its calendar day, if it has one.
+
+    The global sort by date is optional; revenue comes second in it so that a date with very many
+    orders, or the missing one, is not a single task's range.
+    """
     report = daily_clv.join(date_dim, F.col("order_date") == F.col("date_key"), "left").select(
         "order_date", "order_revenue", "day_of_week", "month", "year", "is_weekend"
     )
-    return report.orderBy(F.asc_nulls_last("order_date")) if ordered else report
+    return report.orderBy(F.asc_nulls_last("order_date"), "order_revenue") if ordered else report
 
 
 def _by_calendar_day(daily_clv: DataFrame, date_dim: DataFrame) -> DataFrame:
@@ -84,7 +88,7 @@ def sales_kpis(daily_clv: DataFrame) -> DataFrame:
 def sales_series(daily_clv: DataFrame, ordered: bool = False) -> DataFrame:
     """Revenue of each order under its date."""
     series = daily_clv.select("order_date", "order_revenue")
-    return series.orderBy(F.asc_nulls_last("order_date")) if ordered else series
+    return series.orderBy(F.asc_nulls_last("order_date"), "order_revenue") if ordered else series
 
 
 def sales_by_day(daily_clv: DataFrame) -> DataFrame:

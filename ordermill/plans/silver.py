@@ -27,8 +27,10 @@ def silver_order_items(items: DataFrame) -> DataFrame:
         tolerant_order_ts(F.col("orderid")).alias("order_ts"),
         strict_order_date(F.col("orderid")).alias("order_date"),
         revenue.alias("line_revenue"),
-        tolerant_order_ts(F.col("orderid")).isNotNull().alias("has_order_time"),
-        revenue.isNotNull().alias("has_amount"),
+    ).select(
+        "*",
+        F.col("order_ts").isNotNull().alias("has_order_time"),
+        F.col("line_revenue").isNotNull().alias("has_amount"),
     )
 
 

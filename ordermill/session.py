@@ -10,9 +10,11 @@ _local_folders: dict[str, str] = {}
 
 
 def build_session(app_name: str = "ordermill", master: str | None = None, **conf: object) -> SparkSession:
-    """A session with a UTC clock and adaptive execution; `conf` adds or overrides settings.
+    """A session with a UTC clock and adaptive execution.
 
-    ANSI mode stays at Spark's default (on): bad input is handled with try_* functions,
+    `conf` adds or overrides settings, with `__` for the dots: `spark__sql__shuffle__partitions=4000`.
+    Adaptive execution merges small shuffle partitions but does not add any, so a large cluster
+    should start from many. ANSI mode stays at Spark's default (on): bad input is handled with try_* functions,
     and an overflow raises instead of turning into NULL.
     """
     builder = (

@@ -46,7 +46,10 @@ def raw_order_items(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("p_size") % 17 == 0, F.lit(None)).when(F.col("p_size") % 19 == 0, F.lit("")).otherwise(F.col("p_type"))
     )
     part = _table(spark, folder, "part").select(
-        "p_partkey", "p_name", "p_retailprice", category.alias("item_category")
+        "p_partkey",
+        "p_name",
+        F.col("p_retailprice").cast("decimal(10,2)").alias("item_price"),
+        category.alias("item_category"),
     )
     return (
         _table(spark, folder, "lineitem")
@@ -64,7 +67,7 @@ def raw_order_items(spark: SparkSession, folder: str) -> DataFrame:
             F.col("l_linenumber").alias("lineitem_id"),
             "item_category",
             F.col("p_name").alias("item_name"),
-            F.col("p_retailprice").alias("item_price"),
+            "item_price",
             F.col("l_quantity").alias("item_quantity"),
         )
     )
