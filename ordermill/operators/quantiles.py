@@ -15,19 +15,21 @@ def quantiles(
     df: DataFrame,
     wanted: Mapping[str, tuple[str, str]],
     method: str = "exact",
-    accuracy: int = 100_000,
+    accuracy: int | None = None,
 ) -> Column:
     """A scalar struct with one field per entry of `wanted`: name -> (column, fraction as text).
 
     Quantile p of n values is the ceil(p * n)-th smallest. Columns are integers or decimals with
     at most two places; NULLs are left out; without values the field is NULL.
 
-    `exact` takes one more pass than `approx`, which returns the sketch's own answer (rank error
-    up to n / accuracy). Neither holds more than a sketch or a narrow slice of values in a task.
+    `approx` returns the sketch's own answer, with a rank error up to n / accuracy (10,000 if not
+    given). `exact` takes one more pass and needs only a coarse sketch (4,000), which matters because
+    every task's sketch goes to the one that merges them.
     """
     if method == "exact":
-        return _exact(df, wanted, accuracy)
+        return _exact(df, wanted, accuracy or 4_000)
     if method == "approx":
+        accuracy = accuracy or 10_000
         fields = [
             F.percentile_approx(column, float(Fraction(p)), accuracy).alias(name)
             for name, (column, p) in wanted.items()
@@ -40,7 +42,8 @@ def _exact(df: DataFrame, wanted: Mapping[str, tuple[str, str]], accuracy: int)
     """Bracket each quantile with a sketch, then count exactly, keeping only in-bracket values apart.
 
     All other values collapse into one counted gap per side, in order, so a running count over
-    the few remaining keys gives true ranks. A sketch that missed its bracket is an error.
+    the remaining keys gives true ranks. These keys are the distinct values between two ranks that
+    lie some 10 / accuracy of all rows apart. A sketch that missed its bracket is an error.
     """
     columns = list(dict.fromkeys(column for column, _ in wanted.values()))
     fractions = {c: sorted({Fraction(p) for col, p in wanted.values() if col == c}) for c in columns}

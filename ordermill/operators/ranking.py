@@ -17,7 +17,7 @@ def global_rank(df: DataFrame, value: str, name: str, slots: int = 128) -> DataF
     """
     counts = df.groupBy(value).agg(F.count("*").alias("n"))
     cuts = [i / slots for i in range(1, slots)]
-    splits = counts.agg(F.percentile_approx(value, cuts).alias("splits")).scalar()
+    splits = counts.agg(F.percentile_approx(value, cuts, 10 * slots).alias("splits")).scalar()
 
     def slot(column: Column, splits: Column) -> Column:
         return F.coalesce(F.size(F.filter(F.coalesce(splits, F.array()), lambda s: s < column)), F.lit(0))
