@@ -58,34 +58,36 @@ def _exact(df: DataFrame, wanted: Mapping[str, tuple[str, str]], accuracy: int)
                     accuracy,
                 ).alias(f"bounds_{c}")
                 for c in columns
-            ],
-            *[F.count(c).alias(f"n_{c}") for c in columns],
+            ]
         ).alias("s")
     ).scalar()
 
-    entries = [
-        F.struct(F.lit(c).alias("measure"), _bracket_key(F.col(c).cast(VALUE), F.col("s")[f"bounds_{c}"], len(fractions[c])).alias("key"))
-        for c in columns
-    ]
+    def entry(column: str) -> Column:
+        key = _bracket_key(F.col(column).cast(VALUE), F.col("s")[f"bounds_{column}"], len(fractions[column]))
+        return F.struct(F.lit(column).alias("measure"), key.alias("key"))
+
     frequency = (
         df.select(*columns)
         .withColumn("s", sketch)
-        .select(F.explode(F.array(*entries)).alias("entry"))
+        .select(F.explode(F.array(*[entry(c) for c in columns])).alias("entry"))
         .select("entry.measure", "entry.key")
         .filter(F.col("key").isNotNull())
         .groupBy("measure", "key")
         .agg(F.count("*").alias("n"))
     )
-    in_order = Window.partitionBy("measure").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
-    counted = frequency.withColumn("seen", F.sum("n").over(in_order)).withColumn("s", sketch)
+    in_order = Window.partitionBy("measure").orderBy("key")
+    counted = frequency.select(
+        "measure",
+        "key",
+        F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0)).alias("seen"),
+        F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"),
+    )
 
     def pick(column: str, p: Fraction) -> Column:
-        n = F.col("s")[f"n_{column}"]
-        rank = F.call_function("div", n * p.numerator + (p.denominator - 1), F.lit(p.denominator))
+        rank = F.call_function("div", F.col("total") * p.numerator + (p.denominator - 1), F.lit(p.denominator))
         reached = (F.col("measure") == column) & (F.col("seen") >= F.greatest(rank, F.lit(1)))
         return F.min(F.when(reached, F.col("key")))
 
-    names = list(wanted)
     picked = counted.agg(*[pick(c, Fraction(p)).alias(name) for name, (c, p) in wanted.items()])
     types = dict(df.dtypes)
     fields = [
@@ -93,7 +95,7 @@ def _exact(df: DataFrame, wanted: Mapping[str, tuple[str, str]], accuracy: int)
         .otherwise(F.col(name)["value"])
         .cast(types[wanted[name][0]])
         .alias(name)
-        for name in names
+        for name in wanted
     ]
     return picked.select(F.struct(*fields).alias("q")).scalar()
 
