@@ -6,6 +6,7 @@ them, the bronze plan normalises these, and the report plans run on the result.
 
 from __future__ import annotations
 
+import importlib.util
 import uuid
 from collections.abc import Callable
 
@@ -20,6 +21,11 @@ from ordermill.sources import calendar, sample_orders, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: The operators on training text are an optional subpackage with queries of its own.
+HAS_LLM = importlib.util.find_spec("ordermill.llm") is not None
+if HAS_LLM:
+    from ordermill.llm import registry
+
 
 class _Inputs:
     """The lazily derived tables that the queries start from."""
@@ -176,8 +182,10 @@ def queries() -> dict[str, Query]:
     def bind(build: Callable[[_Inputs], DataFrame]) -> Query:
         return lambda spark, folder: build(_Inputs(spark, folder))
 
-    return {name: bind(build) for name, build in _queries().items()}
+    found = {name: bind(build) for name, build in _queries().items()}
+    return found | registry.queries() if HAS_LLM else found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.all_queries()
+    found = oracle_queries.all_queries()
+    return found | registry.oracle_sql() if HAS_LLM else found
