@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import packing
+from ordermill.llm import packing, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,8 +28,13 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.simhash_components(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_packing": op1_packing}
+    return {"op1_packing": op1_packing, "op3_simhash": op3_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
