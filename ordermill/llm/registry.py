@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import packing, simhash
+from ordermill.llm import packing, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,8 +33,13 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_packing": op1_packing, "op3_simhash": op3_simhash}
+    return {"op1_packing": op1_packing, "op3_simhash": op3_simhash, "op6_substrings": op6_substrings}
 
 
 def oracle_sql() -> dict[str, str]:
