@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import packing, simhash, substrings
+from ordermill.llm import packing, quality, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,8 +38,21 @@ def op6_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, folder, "labels"))
+    return quality.scored(docs, model).select(
+        "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_packing": op1_packing, "op3_simhash": op3_simhash, "op6_substrings": op6_substrings}
+    return {
+        "op1_packing": op1_packing,
+        "op3_simhash": op3_simhash,
+        "op6_substrings": op6_substrings,
+        "op10_quality": op10_quality,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
