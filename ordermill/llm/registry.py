@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import packing, quality, simhash, substrings
+from ordermill.llm import decontamination, oracles, packing, quality, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,12 @@ def op6_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = quality.train(docs, table(spark, folder, "labels"))
@@ -51,9 +57,10 @@ def queries() -> dict[str, Query]:
         "op1_packing": op1_packing,
         "op3_simhash": op3_simhash,
         "op6_substrings": op6_substrings,
+        "op7_decontamination": op7_decontamination,
         "op10_quality": op10_quality,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_substrings": oracles.SUBSTRINGS, "op7_decontamination": oracles.DECONTAMINATION}
