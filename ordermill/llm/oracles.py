@@ -4,7 +4,7 @@ from __future__ import annotations
 
 SUBSTRINGS = r"""
 WITH d AS (
-    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+    SELECT doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS w
     FROM documents
 ), places AS (
     SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i, w, len(w) AS n FROM d
@@ -25,12 +25,12 @@ FROM d LEFT JOIN left_over l ON d.doc_id = l.doc_id
 
 DECONTAMINATION = r"""
 WITH d AS (
-    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+    SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS w
     FROM documents
 ), b AS (
-    SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+    SELECT item_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS w
     FROM benchmark
 ), items AS (
     SELECT item_id, least(13, len(w)) AS k, unnest(range(len(w) - least(13, len(w)) + 1)) AS i, w FROM b WHERE len(w) > 0
