@@ -155,8 +155,8 @@ def pack(
         names = [id_column, "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
         for batch in batches:
             kinds = [batch.schema.field(0).type, pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 3]
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
                 for key, ids in zip(part.column(0).to_pylist(), encoder.encode(as_bytes(part.column(1))), strict=True):
                     keys.append(key)
                     texts.append(ids + end)

@@ -2,61 +2,67 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
-from tokenizers import Tokenizer, normalizers
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-#: Fixed value: the special token that separates the new words in one call; it encodes to one id.
-SEPARATOR = "<|startoftext|>"
+#: The tokenizer's mark of a word's last token, and how it splits a word into pieces, written for words of `COMMON` alone.
+WORD_END = "</w>"
+COMMON = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
 class WordEncoder:
     """Encodes texts with a tokenizer that drops white space and never merges across it.
 
-    For such a tokenizer the ids of a text are those of its words one after another, so each distinct word goes to
-    the library once. Only ASCII white space splits here; any other character stays inside a word and is left to the library.
-    Texts of ASCII alone are lower-cased first, as the tokenizer does itself; its normalizer changes nothing else in them.
-    At most `limit` words are remembered, then the memory starts anew.
+    For such a tokenizer the ids of a text are those of its words one after another, so each distinct word, and each distinct
+    piece of words of common letters, goes to the library once. Only ASCII white space splits here; any other character stays
+    inside a word. Words with rarer letters or special tokens go through the whole tokenizer; for the rest its
+    normalizer does no more than lower-case. At most `limit` words and pieces are remembered, then the memory starts anew.
     """
 
-    def __init__(self, path: str, limit: int = 600_000) -> None:
+    def __init__(self, path: str, limit: int = 1_500_000) -> None:
         self.full = Tokenizer.from_file(path)
-        self.plain = Tokenizer.from_file(path)
-        self.plain.normalizer = normalizers.Sequence([])
-        self.separator = self.full.token_to_id(SEPARATOR)
+        self.pieces = Tokenizer.from_file(path)
+        self.pieces.normalizer = normalizers.Sequence([])
+        self.pieces.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self.ends = np.zeros(self.full.get_vocab_size(), dtype=bool)
+        self.ends[[i for token, i in self.full.get_vocab().items() if token.endswith(WORD_END)]] = True
         self.limit = limit
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        encoded = []
-        for text in texts:
-            words = (text.lower() if text.isascii() and b"<|" not in text else text).split()
-            known = self.known
-            try:
-                encoded.append(b"".join([known[word] for word in words]))
-            except KeyError:
-                self._learn({word for word in words if word not in known})
-                known = self.known
-                if len(known) > self.limit:
-                    self.known = {}
-                encoded.append(b"".join([known[word] for word in words]))
-        return encoded
+        split = [(text.lower() if text.isascii() and b"<|" not in text else text).split() for text in texts]
+        if len(self.known) > self.limit:
+            self.known = {}
+        self._learn(set().union(*split).difference(self.known))
+        known = self.known
+        return [b"".join([known[word] for word in words]) for words in split]
 
     def _learn(self, words: set[bytes]) -> None:
-        plain = [word for word in words if word.isascii() and b"<" not in word and word.islower()]
-        odd = [word for word in words if b"<" in word]
-        full = list(words.difference(plain, odd))
-        for tokenizer, part in ((self.plain, plain), (self.full, full)):
-            if part:
-                joined = SEPARATOR.join(word.decode() for word in part)
-                ids = np.array(tokenizer.encode(joined, add_special_tokens=False).ids, dtype="<u4")
-                ends = np.append(np.flatnonzero(ids == self.separator), len(ids))
-                starts = np.append(0, ends[:-1] + 1)
-                data = ids.tobytes()
-                self.known.update(
-                    (word, data[4 * start : 4 * end])
-                    for word, start, end in zip(part, starts.tolist(), ends.tolist(), strict=True)
-                )
-        for word in odd:
-            ids = self.full.encode(word.decode(), add_special_tokens=False).ids
-            self.known[word] = np.array(ids, dtype="<u4").tobytes()
+        cut: dict[bytes, list[bytes]] = {}
+        for word in words:
+            text = word.decode()
+            if COMMON.fullmatch(text) and "<|" not in text:
+                cut[word] = [piece.encode() for piece in PIECES.findall(text.lower())]
+            else:
+                self.known[word] = _packed(self.full.encode(text, add_special_tokens=False).ids)
+        new = list({piece for pieces in cut.values() for piece in pieces}.difference(self.known))
+        if new:
+            ids = np.array(self.pieces.encode(b" ".join(new).decode(), add_special_tokens=False).ids, dtype="<u4")
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            data = ids.tobytes()
+            bounds = zip([0, *ends.tolist()], ends.tolist(), strict=False)
+            self.known.update((piece, data[start:end]) for piece, (start, end) in zip(new, bounds, strict=True))
+        known = self.known
+        for word, pieces in cut.items():
+            if word not in known:
+                known[word] = b"".join([known[piece] for piece in pieces])
+
+
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, dtype="<u4").tobytes()

@@ -43,7 +43,7 @@ def test_plan_keeps_every_id_once_and_pads_nothing(lengths):
         assert at == lengths[document]
 
 
-TEXTS = [None, "", " \n", "One two  THREE.", "Ünïcode x\x1cy <|endoftext|> İstanbul ΟΔΟΣ é", "don't 42 *** a<|b", "word " * 5000, "One two  THREE."]
+TEXTS = [None, "", " \n", "One two  THREE.", "Ünïcode x\x1cy <|endoftext|> İstanbul ΟΔΟΣ é", "don't 42 *** a<|b I'LL É'S x÷y×z ÀÖØöÿß99¼ <|ENDOFTEXT|> {|}~ Ā́", "word " * 5000, "One two  THREE."]
 
 
 def test_words_one_by_one_give_the_ids_of_the_text():
