@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -64,5 +65,11 @@ class WordEncoder:
                 known[word] = b"".join([known[piece] for piece in pieces])
 
 
+@lru_cache(maxsize=1)
+def shared_encoder(path: str) -> WordEncoder:
+    """One encoder for all tasks that a Python worker runs one after another, so words are learnt once per worker."""
+    return WordEncoder(path)
+
+
 def _packed(ids: list[int]) -> bytes:
     return np.array(ids, dtype="<u4").tobytes()
