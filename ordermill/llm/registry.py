@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import decontamination, oracles, packing, quality, simhash, substrings
+from ordermill.llm import chunking, decontamination, oracles, packing, quality, simhash, substrings, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,25 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    files = token_files.write(table(spark, folder, "documents"), tokenizer())
+    found = token_files.read(files)
+    return found.select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    found = chunking.fingerprints_with_next(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = quality.train(docs, table(spark, folder, "labels"))
@@ -58,6 +77,8 @@ def queries() -> dict[str, Query]:
         "op3_simhash": op3_simhash,
         "op6_substrings": op6_substrings,
         "op7_decontamination": op7_decontamination,
+        "op8_token_files": op8_token_files,
+        "op9_fingerprints": op9_fingerprints,
         "op10_quality": op10_quality,
     }
 

@@ -1,0 +1,83 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+
+from ordermill.llm import chunking
+from ordermill.llm.registry import op9_fingerprints
+
+
+def plain_ends(text):
+    """Byte by byte, with the hash rolled on."""
+    ends, start = [], 0
+    while start < len(text):
+        end = min(len(text), start + chunking.MOST)
+        if len(text) - start <= chunking.LEAST:
+            end = len(text)
+        else:
+            for at in range(start + chunking.LEAST, end + 1):
+                h = 0
+                for byte in text[max(0, at - 32) : at]:
+                    h = (2 * h + int(chunking.GEAR[byte])) & 0xFFFFFFFF
+                mask = chunking.STRICT if at < start + chunking.NORMAL else chunking.LOOSE
+                if not h & int(mask):
+                    end = at
+                    break
+        ends.append(end)
+        start = end
+    return ends
+
+
+def test_boundaries_equal_a_rolled_hash():
+    rng = random.Random(4)
+    for size in (0, 1, 15, 16, 17, 48, 300, 3000):
+        text = bytes(rng.choice(b"abcdefgh ") for _ in range(size))
+        assert chunking.boundaries(text) == plain_ends(text)
+    assert chunking.boundaries(b"a" * 1000)[-1] == 1000
+
+
+def test_a_shift_moves_few_chunks():
+    rng = random.Random(5)
+    text = bytes(rng.choice(b"abcdefghijklmnop ") for _ in range(20_000))
+    a, b = chunking.chunk_weights(text), chunking.chunk_weights(b"new " + text)
+    assert chunking.likeness(a, b) > 0.97
+    assert chunking.parsed(chunking.written(a)) == a
+    assert np.mean(list(a.values())) < 110
+
+
+def plainly(rows):
+    """Rows (id, text) in descending order of (id, tie), each with the next."""
+    out = []
+    for at, (doc, text) in enumerate(rows):
+        text, following = text or "", rows[(at + 1) % len(rows)][1] or ""
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        a, b, c = (chunking.chunk_weights(t.encode()) for t in (text, edited, following))
+        digest = hashlib.sha256(edited.encode()).hexdigest()
+        out.append((doc, len(text), digest, chunking.written(a), chunking.written(b), chunking.likeness(a, b), chunking.likeness(a, c)))
+    return sorted(out, key=str)
+
+
+def test_query_equals_brute_force(spark, small):
+    rows = sorted(((r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()), reverse=True)
+    got = [tuple(r) for r in op9_fingerprints(spark, small).collect()]
+    assert sorted(got, key=str) == plainly(rows)
+    long_ones = [r for r in got if r[1] > 2000]
+    assert np.mean([r[5] > 0.35 for r in long_ones]) > 0.9 and np.mean([r[6] for r in long_ones]) < 0.2
+
+
+def test_odd_rows(spark):
+    rows = [(9, "é" * 301), (8, None), (7, ""), (6, "same"), (5, "same"), (4, "x" * 200_000), (None, "last of all")]
+    docs = spark.createDataFrame([(*r, "t", 1) for r in rows], "doc_id bigint, text string, key string, part int")
+
+    def found(df):
+        return [(r.doc_id, r.n_chars, hashlib.sha256(r.edited.encode()).hexdigest(), *r[3:]) for r in chunking.fingerprints_with_next(df).collect()]
+
+    assert sorted(found(docs), key=str) == plainly(rows)
+    assert chunking.fingerprints_with_next(docs.limit(0)).count() == 0
+    lone = found(docs.where("doc_id = 6"))
+    assert lone == plainly([(6, "same")])
+    twice = docs.unionByName(docs.where("doc_id = 9")).unionByName(docs.where("doc_id = 9").withColumn("text", chunking.F.lit("other")))
+    assert len(found(twice)) == 9 and sorted(r[0] for r in found(twice) if r[0]) == [4, 5, 6, 7, 8, 9, 9, 9]
