@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ordermill.llm.fm_index import FMIndex
-from ordermill.llm.shared import as_bytes, staged
+from ordermill.llm.shared import as_bytes
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(31))
 
@@ -40,11 +40,11 @@ def window_anchors(words: list[bytes], window: int, gram: int) -> np.ndarray:
     return grams
 
 
-def _repeated_anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """(id, anchors): the anchors of a document that another document has too.
+def _asked_anchors(docs: DataFrame, window: int, gram: int, crowd: int) -> DataFrame:
+    """(anchor, ids, docs, crowded): the anchors of documents, rows (id, text), for a task's documents together.
 
-    A task sends each of its anchors once, with the smallest id that has it; the other documents of the task
-    already know that they share it. So an anchor of very many documents is one row per task.
+    `ids` are the task's documents with the anchor. If there are over `crowd` the row says so and has the smallest id alone;
+    the others then come one by one in rows without an anchor to ask for (docs = 0).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,66 +59,98 @@ def _repeated_anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
             new = np.append(True, anchor[1:] != anchor[:-1])
             other = np.append(True, doc[1:] != doc[:-1]) | new
             anchor, doc, new = anchor[other], doc[other], new[other]
-            several = np.append(~new[1:], False) | ~new
-            return pa.RecordBatch.from_arrays(
-                [pa.array(anchor.view("<i8")), pa.array(doc), pa.array(new), pa.array(several)], ["anchor", "id", "asks", "several"]
-            )
+            starts = np.flatnonzero(new)
+            counts = np.diff(np.append(starts, len(anchor)))
+            crowded = counts > crowd
+            alone = np.repeat(crowded, counts) & ~new  # told without asking
+            offsets = np.append(0, np.cumsum(np.where(crowded, 1, counts)))
+            asked = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(doc[~alone]))
+            told = pa.ListArray.from_arrays(pa.array(np.arange(alone.sum() + 1), pa.int32()), pa.array(doc[alone]))
+            columns = [
+                np.concatenate([anchor[starts], anchor[alone]]).view("<i8"),
+                pa.concat_arrays([asked, told]),
+                np.concatenate([counts, np.zeros(alone.sum(), dtype=np.int64)]),
+                np.concatenate([crowded, np.ones(alone.sum(), dtype=bool)]),
+            ]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "ids", "docs", "crowded"])
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True):
+            for doc, none, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), as_bytes(batch.column(1)), strict=True):
+                if none:
+                    continue
                 found = np.unique(window_anchors(text.split(), window, gram))
                 anchors.append(found)
                 ids.append(np.full(len(found), doc, dtype=np.int64))
                 held += len(found)
-                if held > 2_000_000:
+                if held > 1_000_000:
                     yield flush()
                     anchors, ids, held = [], [], 0
         if held:
             yield flush()
 
-    rows = docs.mapInArrow(run, "anchor bigint, id bigint, asks boolean, several boolean")
-    part = F.when(F.col("asks"), 0).otherwise(1 + F.pmod(F.xxhash64("id"), F.lit(1 << 20)))
-    asked = W.partitionBy("anchor", part)
+    return docs.mapInArrow(run, "anchor bigint, ids array<bigint>, docs bigint, crowded boolean")
+
+
+def _shared_anchors(asked: DataFrame, crowd: int) -> DataFrame:
+    """(id, anchors, crowds): the anchors of a document that another document has too, and those of over `crowd` documents."""
+    part = F.when(F.col("docs") > 0, 0).otherwise(1 + F.pmod(F.xxhash64("ids"), F.lit(1 << 20)))
+    every = W.partitionBy("anchor", part)
+    crowded = F.max("crowded").over(every) | (F.sum("docs").over(every) > crowd)
     return (
-        rows.withColumn("n", F.count(F.lit(1)).over(asked))
-        .where(F.col("several") | (F.col("n") > 1))
+        asked.select("anchor", "ids", "docs", F.sum("docs").over(every).alias("total"), crowded.alias("crowded"))
+        .where((F.col("docs") == 0) | (F.col("total") > 1))
+        .select(F.explode("ids").alias("id"), "anchor", "crowded")
         .groupBy("id")
-        .agg(F.collect_set("anchor").alias("anchors"))
+        .agg(F.collect_set("anchor").alias("anchors"), F.collect_set(F.when(F.col("crowded"), F.col("anchor"))).alias("crowds"))
     )
 
 
 def _passages(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """(anchor, id, position, n_words, content, words): runs of windows with one shared anchor, of rows (id, text, anchors)."""
+    """(anchor, content, id, row, position, n_words, words): runs of windows with one shared anchor, of rows (id, text, none, row, anchors, crowds, ...).
+
+    The windows of crowded anchors come one by one, with their own text as the anchor. A task sends the words of equal
+    passages once, for the smallest id; it knows that the larger ids have them later and sends these places without words.
+    """
+    names = ["anchor", "content", "id", "row", "position", "n_words", "words"]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["anchor", "id", "position", "n_words", "content", "words"]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+        rows: list[tuple] = []
 
-        def made(rows: list[tuple]) -> pa.RecordBatch:
-            columns = zip(*rows, strict=True)
+        def flush() -> pa.RecordBatch:
+            first: dict[tuple, int] = {}
+            for row in rows:
+                first[row[:2]] = min(first.get(row[:2], row[2]), row[2])
+            sent = [row if first[row[:2]] == row[2] else (*row[:6], None) for row in rows]
+            columns = zip(*sent, strict=True)
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-        rows: list[tuple] = []
         for batch in batches:
-            shared = batch.column(2)
-            for at, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True)):
+            ids, nones, keys = (batch.column(k).to_pylist() for k in (0, 2, 3))
+            shared, crowds = batch.column(4), batch.column(5)
+            for at, text in enumerate(as_bytes(batch.column(1))):
+                if nones[at]:
+                    continue
                 words = text.split()
                 anchors = window_anchors(words, window, gram).view("<i8")
                 known = np.isin(anchors, shared[at].values.to_numpy())
-                starts = np.flatnonzero(np.append(True, anchors[1:] != anchors[:-1])) if len(anchors) else []
+                single = np.isin(anchors, crowds[at].values.to_numpy())
+                new = np.append(True, anchors[1:] != anchors[:-1])
+                starts = np.flatnonzero(new | single) if len(anchors) else np.array([], dtype=np.int64)
                 ends = np.append(starts[1:], len(anchors))
-                for start, end in zip(starts, ends, strict=True):
-                    if known[start]:
-                        passage = b" ".join(words[start : end + window - 1])
-                        digest = xxhash.xxh3_128_digest(passage)
-                        rows.append((int(anchors[start]), doc, start, end - start + window - 1, digest, passage))
-                if len(rows) > 20_000:
-                    yield made(rows)
+                use = known[starts]
+                for start, end in zip(starts[use].tolist(), ends[use].tolist(), strict=True):
+                    passage = b" ".join(words[start : end + window - 1])
+                    digest = xxhash.xxh3_128_digest(passage)
+                    anchor = int.from_bytes(digest[:8], signed=True) if single[start] else int(anchors[start])
+                    rows.append((anchor, digest, ids[at], keys[at], start, end - start + window - 1, passage))
+                if len(rows) > 100_000:
+                    yield flush()
                     rows = []
         if rows:
-            yield made(rows)
+            yield flush()
 
-    return docs.mapInArrow(run, "anchor bigint, id bigint, position int, n_words int, content binary, words binary")
+    return docs.mapInArrow(run, "anchor bigint, content binary, id bigint, row bigint, position int, n_words int, words binary")
 
 
 def earlier_windows(passages: list[bytes], firsts: np.ndarray, window: int) -> list[list[tuple[int, int]]]:
@@ -157,24 +189,41 @@ def earlier_windows(passages: list[bytes], firsts: np.ndarray, window: int) -> l
     return hits
 
 
-def _searched(contents: DataFrame, window: int) -> DataFrame:
-    """(anchor, content, first, hits) of rows (anchor, content, words, first); rows of an anchor meet in one shard."""
+def _searched(passages: DataFrame, window: int) -> DataFrame:
+    """(id, row, start, end): the spans of passages that an earlier document has; the passages of an anchor meet in one shard."""
 
     def shard(rows: pa.Table) -> pa.RecordBatch:
-        anchor = rows.column(0).to_numpy()
-        new = np.append(True, anchor[1:] != anchor[:-1])
-        alone = new & np.append(new[1:], True)
-        hits: list[list[tuple[int, int]]] = [[] for _ in anchor]
-        together = np.flatnonzero(~alone)  # a lone passage shares no window
-        if len(together):
-            part = rows.take(pa.array(together))
-            found = earlier_windows(part.column(2).to_pylist(), part.column(3).to_numpy(), window)
-            for at, spans in zip(together.tolist(), found, strict=True):
-                hits[at] = spans
-        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        values = pa.array([[{"start": s, "end": e} for s, e in spans] for spans in hits], kind)
-        columns = [rows.column(i).combine_chunks() for i in (0, 1, 3)]
-        return pa.RecordBatch.from_arrays([*columns, values], ["anchor", "content", "first", "hits"])
+        anchor, doc, key, position, n_words = (
+            rows.column(name).to_numpy() for name in ("anchor", "id", "row", "position", "n_words")
+        )
+        content = np.frombuffer(b"".join(rows.column("content").to_pylist()), dtype="<u8").reshape(-1, 2)
+        words = rows.column("words").combine_chunks()
+        known = words.is_valid().to_numpy(zero_copy_only=False)
+        new_anchor = np.append(True, anchor[1:] != anchor[:-1])
+        entry = np.cumsum(new_anchor | np.append(True, (content[1:] != content[:-1]).any(axis=1))) - 1
+        firsts = np.full(entry[-1] + 1, np.iinfo(np.int64).max)
+        np.minimum.at(firsts, entry, doc)
+        later = ~known | (doc > firsts[entry])
+        group = np.cumsum(new_anchor) - 1
+        holder = np.full(len(firsts), -1)
+        own = np.flatnonzero(known & ~later)
+        holder[entry[own]] = own
+        holder = holder[holder >= 0]
+        several = np.bincount(group[holder], minlength=group[-1] + 1)[group[holder]] > 1
+        asked = holder[several]  # a lone passage shares no window with another
+        at_hits, starts, ends = [np.flatnonzero(later)], [position[later]], [(position + n_words)[later]]
+        if len(asked):
+            found = earlier_windows(words.take(pa.array(asked)).to_pylist(), doc[asked], window)
+            spans = {int(entry[at]): part for at, part in zip(asked.tolist(), found, strict=True) if part}
+            for at in own.tolist():
+                for start, end in spans.get(int(entry[at]), ()):
+                    at_hits.append([at])
+                    starts.append([position[at] + start])
+                    ends.append([position[at] + end])
+        hit = np.concatenate(at_hits)
+        columns = [pa.array(doc[hit]), pa.array(key[hit])]
+        columns += [pa.array(np.concatenate(parts), pa.int32()) for parts in (starts, ends)]
+        return pa.RecordBatch.from_arrays(columns, ["id", "row", "start", "end"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -193,83 +242,82 @@ def _searched(contents: DataFrame, window: int) -> DataFrame:
         if rows:
             yield shard(pa.Table.from_batches(held))
 
-    dealt = contents.select("anchor", "content", "words", "first").repartition("anchor").sortWithinPartitions("anchor", "content")
-    span = "array<struct<start:int,end:int>>"
-    return dealt.mapInArrow(run, f"anchor bigint, content binary, first bigint, hits {span}")
-
-
-def _single_windows(passages: DataFrame, window: int) -> DataFrame:
-    """Passages cut into their windows, each with its own text as the anchor."""
-    words = F.split(F.col("words").cast("string"), " ", -1)
-    starts = F.sequence(F.lit(0), F.col("n_words") - window)
-    cut = passages.withColumn("_words", words).withColumn("_start", F.explode(starts))
-    text = F.array_join(F.slice("_words", F.col("_start") + 1, window), " ")
-    return cut.select(
-        F.xxhash64(text).alias("anchor"),
-        "id",
-        (F.col("position") + F.col("_start")).alias("position"),
-        F.lit(window).alias("n_words"),
-        F.unhex(F.md5(text.cast("binary"))).alias("content"),
-        text.cast("binary").alias("words"),
-    )
+    place = F.when(F.col("words").isNull(), F.xxhash64("id", "position")).otherwise(F.col("anchor"))
+    dealt = passages.withColumn("place", place).repartition("place").drop("place").sortWithinPartitions("anchor", "content")
+    return dealt.mapInArrow(run, "id bigint, row bigint, start int, end int")
 
 
-def repeated_spans(
+def without_repeats(
     docs: DataFrame, window: int = 13, gram: int = 6, crowd: int = 4096, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """(id, spans): the word spans [start, end) that windows also starting in a document with a smaller id cover.
+    """`docs` with three columns more: kept (the words left, joined by one space; binary), n_words, n_removed.
 
-    A window is `window` consecutive words, split by ASCII white space. Documents without such windows have no row. Windows meet by
-    their anchors: only passages whose anchor two documents share are sent on, a shard gets all passages of its anchors, and
-    equal passages are one entry with the smallest id. An anchor with over `crowd` different passages (the edges of a text
-    that very many documents quote) has them cut into single windows first, which then meet by their own text.
+    A word goes if a window of `window` consecutive words covers it that also starts in a document with a smaller id; words
+    are split by ASCII white space and windows are judged on the input. Copies of a whole text need no search. Of the rest, windows meet by their anchors: only
+    passages whose anchor two documents share are sent on, and a shard indexes and searches all passages of its anchors.
+    An anchor of over `crowd` documents (a text that very many quote) has its windows meet one by one by their own text,
+    and equal passages of one task are one entry, so no shard grows with such a group.
 
-    Null and empty texts have no windows. A null id is neither smaller nor larger than another: its text stays whole and
-    removes nothing. Rows that share an id are one document to each other. Ids are whole numbers.
+    The texts are shuffled once, by id, and read from there three times.
+
+    Every row stays. Null and empty texts have no windows. A null id is neither smaller nor larger than another: its text
+    stays whole and removes nothing. Rows that share an id are one document to each other. Ids are whole numbers. An empty table stays empty.
     """
-    known = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
-    shared = _repeated_anchors(known, window, gram)
-    passages = staged(_passages(known.join(shared, "id"), window, gram), "passages")
-    contents = passages.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("n"))
-    crowded = staged(contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd).select("anchor"), "crowded")
-    calm = passages.join(crowded, "anchor", "left_anti")
-    split = _single_windows(passages.join(crowded, "anchor", "left_semi"), window)
-    entries = calm.unionByName(split)
-    firsts = entries.groupBy("anchor", "content").agg(F.any_value("words").alias("words"), F.min("id").alias("first"))
-    searched = _searched(firsts, window)
-    own = F.transform(
-        "hits", lambda h: F.struct((F.col("position") + h["start"]).alias("start"), (F.col("position") + h["end"]).alias("end"))
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    rows = docs.withColumns(
+        {
+            _ID: F.coalesce(F.col(id_column).cast("bigint"), F.xxhash64(text)),
+            _NONE: F.col(id_column).isNull(),
+            _ROW: F.xxhash64(text),
+            _DIGEST: F.md5(text.cast("binary")),
+        }
     )
-    whole = F.array(F.struct(F.col("position").alias("start"), (F.col("position") + F.col("n_words")).alias("end")))
-    spans = F.when(F.col("id") > F.col("first"), whole).otherwise(own)
-    return (
-        entries.select("anchor", "content", "id", "position", "n_words")
-        .join(searched, ["anchor", "content"])
-        .select("id", F.explode(spans).alias("span"))
-        .groupBy("id")
-        .agg(F.collect_set("span").alias("spans"))
-        .select(F.col("id").alias(id_column), "spans")
+
+    def found(table: DataFrame) -> DataFrame:
+        """Joined by id, the row key only compared: so each join shuffles the texts alike, and Spark does it once."""
+        other = table.withColumnsRenamed({"id": "_id", "row": "_row"})
+        same = F.col(_ID) == F.col("_id")
+        if "row" in table.columns:
+            same &= F.col(_ROW).bitwiseXOR(F.col("_row")) == 0
+        return rows.join(other, same, "left").drop("_id", "_row")
+
+    digests = rows.where(~F.col(_NONE)).select(F.col(_ID).alias("id"), F.col(_ROW).alias("row"), _DIGEST)
+    firsts = digests.groupBy(_DIGEST).agg(F.min("id").alias("first"))
+    copies = digests.join(firsts, _DIGEST).where("id > first").groupBy("id", "row").agg(F.lit(True).alias(_COPY))
+    fresh = found(copies).where(F.col(_COPY).isNull())
+    shared = _shared_anchors(_asked_anchors(_ordered(fresh, text_column), window, gram, crowd), crowd)
+    met = found(shared).where(F.col("anchors").isNotNull())
+    spans = (
+        _searched(_passages(_ordered(met, text_column, "anchors", "crowds"), window, gram), window)
+        .groupBy("id", "row")
+        .agg(F.collect_set(F.struct("start", "end")).alias(_SPANS))
     )
+    flags = copies.unionByName(spans, allowMissingColumns=True).groupBy("id", "row").agg(F.max(_COPY).alias(_COPY), F.first(_SPANS, True).alias(_SPANS))
+    return _cut(found(flags).select(*docs.columns, _NONE, _COPY, _SPANS, _ID, _ROW, _DIGEST), docs, text_column, window)
 
 
-def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options: int) -> DataFrame:
-    """`docs` with two columns more: kept (the words left, joined by one space; binary) and n_words, n_removed.
+def _ordered(rows: DataFrame, text_column: str, *more: str) -> DataFrame:
+    """(id, text, none, row, ...) first, then all other columns, so that all readers of the shuffled texts read the same columns."""
+    first = [_ID, text_column, _NONE, _ROW, *more]
+    return rows.select(*first, *[name for name in rows.columns if name not in first])
 
-    Every row stays, with null ids and repeated rows as they are. See `repeated_spans` for what is removed.
-    """
-    spans = repeated_spans(docs, id_column=id_column, text_column=text_column, **options)
-    joined = docs.join(spans.select(F.col(id_column).alias(_ID), F.col("spans").alias(_SPANS)), F.col(id_column) == F.col(_ID), "left")
-    text_at, spans_at = docs.columns.index(text_column), len(docs.columns)
+
+def _cut(joined: DataFrame, docs: DataFrame, text_column: str, window: int) -> DataFrame:
+    text_at, end = docs.columns.index(text_column), len(docs.columns)
     names = [*docs.columns, "kept", "n_words", "n_removed"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, totals, removed = [], [], []
-            spans = batch.column(spans_at)
+            nones, copies, spans = batch.column(end).to_pylist(), batch.column(end + 1).to_pylist(), batch.column(end + 2)
             for at, text in enumerate(as_bytes(batch.column(text_at))):
                 words = text.split()
                 left = words
-                if spans[at].is_valid:
+                if nones[at]:
+                    pass
+                elif copies[at]:
+                    left = words if len(words) < window else []
+                elif spans[at].is_valid:
                     found = spans[at].values
                     stay = np.zeros(len(words) + 1, dtype=np.int64)
                     np.add.at(stay, found.field("start").to_numpy(), 1)
@@ -279,10 +327,27 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
                 totals.append(len(words))
                 removed.append(len(words) - len(left))
             columns = [pa.array(kept, pa.binary()), pa.array(totals, pa.int64()), pa.array(removed, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:spans_at], *columns], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:end], *columns], names)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return joined.drop(_ID).mapInArrow(run, f"{fields}, kept binary, n_words bigint, n_removed bigint")
+    return joined.mapInArrow(run, f"{fields}, kept binary, n_words bigint, n_removed bigint")
+
+
+_ID, _NONE, _ROW, _DIGEST, _COPY, _SPANS = (f"__repeat_{name}" for name in ("id", "none", "row", "digest", "copy", "spans"))
 
 
-_ID, _SPANS = "__repeat_id", "__repeat_spans"
+def drop_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length_column: str = "n_chars", **options: int) -> DataFrame:
+    """`docs` without the repeated words; every row and column stays.
+
+    A text that loses words becomes the words left, joined by one space, and its length column, if there is one, follows; other
+    texts keep their white space.
+    """
+    found = without_repeats(docs, id_column=id_column, text_column=text_column, **options)
+    cut = F.col("n_removed") > 0
+    text = F.when(cut, F.decode("kept", "UTF-8")).otherwise(F.col(text_column))
+    changed = {text_column: text}
+    if length_column in docs.columns:
+        kind = docs.schema[length_column].dataType
+        left = F.length(F.decode("kept", "UTF-8")).cast(kind)
+        changed[length_column] = F.when(cut, left).otherwise(F.col(length_column))
+    return found.withColumns(changed).select(docs.columns)

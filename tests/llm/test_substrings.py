@@ -57,7 +57,7 @@ def odd_rows():
     rng = random.Random(3)
     words = [f"w{i}" for i in range(40)]
     passage = " ".join(rng.choice(words) for _ in range(30))
-    rows = [(None, passage), (1, None), (2, ""), (3, " \n"), (4, "a " * 3000), (5, "a " * 20), (6, "few words"), (7, f"{passage} x"), (7, f"y {passage}")]
+    rows = [(None, passage), (1, None), (2, ""), (3, " \n"), (4, "a " * 3000), (5, "a " * 20), (6, "few words"), (7, f"{passage} x"), (7, f"y {passage}"), (12, f"{passage} x"), (12, f"one two y {passage}")]
     for doc in range(10, 40):
         before, after = (" ".join(rng.choice(words) for _ in range(rng.randrange(30))) for _ in range(2))
         rows.append((doc, f"{before}\t{passage}\r\n{after}"))
