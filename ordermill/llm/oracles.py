@@ -53,3 +53,23 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hi
        sha256(coalesce(named.items, '')) AS items_sha256, coalesce(hit.n > 0 AND 20 * hit.n >= len(d.w), false) AS contaminated
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN named ON d.doc_id = named.doc_id
 """
+
+#: The given pages have no redirects or canonical links, so the verdict without a rule is the default.
+URL_FILTERS = r"""
+WITH parts AS (
+    SELECT page_id,
+           translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path
+    FROM pages
+), rules(name, verdict) AS (
+    VALUES ('net/', 'block'), ('example.net/en/', 'allow'), ('example.com/de/', 'block'), ('org/fr/', 'allow')
+), split AS (
+    SELECT name, verdict, name[: position('/' IN name) - 1] AS host, name[position('/' IN name) :] AS path FROM rules
+)
+SELECT p.page_id, p.host, p.path, arg_max(r.name, len(r.name)) AS rule,
+       coalesce(arg_max(r.verdict, len(r.name)), 'allow') AS verdict
+FROM parts p LEFT JOIN split r
+  ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+GROUP BY p.page_id, p.host, p.path
+"""

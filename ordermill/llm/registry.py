@@ -8,11 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import chunking, decontamination, oracles, packing, quality, simhash, substrings, token_files
+from ordermill.llm import chunking, decontamination, main_text, oracles, packing, quality, simhash, substrings, token_files, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: The rules of op5_url_filters: host, path, verdict.
+RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -33,6 +42,17 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = main_text.extract(table(spark, folder, "pages").select("page_id", "url", F.col("html").alias("text")), "text")
+    return pages.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+def op5_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    judged = url_filters.judge(pages.select("page_id", "url"), url_filters.page_links(pages), RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_substrings(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -75,6 +95,8 @@ def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
         "op3_simhash": op3_simhash,
+        "op4_main_text": op4_main_text,
+        "op5_url_filters": op5_url_filters,
         "op6_substrings": op6_substrings,
         "op7_decontamination": op7_decontamination,
         "op8_token_files": op8_token_files,
@@ -84,4 +106,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_substrings": oracles.SUBSTRINGS, "op7_decontamination": oracles.DECONTAMINATION}
+    return {"op5_url_filters": oracles.URL_FILTERS, "op6_substrings": oracles.SUBSTRINGS, "op7_decontamination": oracles.DECONTAMINATION}
