@@ -1,0 +1,55 @@
+from __future__ import annotations
+
+import numpy as np
+from test_decontamination import plainly as contaminated_plainly
+from test_simhash import kept_plainly
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from ordermill.llm import quality
+from ordermill.llm.registry import tokenizer
+
+
+def without_passages(rows, window=50):
+    """(id, text) with the words of windows that start in a smaller id gone."""
+    first, out = {}, []
+    for doc, text in rows:
+        words = text.split()
+        for i in range(len(words) - window + 1):
+            gram = tuple(words[i : i + window])
+            first[gram] = min(first.get(gram, doc), doc)
+    for doc, text in rows:
+        words = text.split()
+        gone = {j for i in range(len(words) - window + 1) if first[tuple(words[i : i + window])] < doc for j in range(i, i + window)}
+        out.append((doc, " ".join(word for i, word in enumerate(words) if i not in gone) if gone else text))
+    return out
+
+
+def test_run_equals_the_plain_stages(spark, small):
+    docs, labels, benchmark = (spark.read.parquet(f"{small}/{name}.parquet") for name in ("documents", "labels", "benchmark"))
+    model = quality.train(docs, labels)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    chance = model.probability(np.array([quality.statistics(text.encode()) for _, text in rows]))
+    rows = [row for row, p in zip(rows, chance, strict=True) if p >= 0.5]
+    assert 0 < len(rows) < docs.count()
+    kept = {doc for _, doc in kept_plainly(rows)}
+    assert len(kept) < len(rows)
+    rows = without_passages([row for row in rows if row[0] in kept])
+    bad = {r[0] for r in contaminated_plainly(rows, [(r.item_id, r.text) for r in benchmark.collect()]) if r[5]}
+    whole = Tokenizer.from_file(tokenizer())
+    expected = {doc: [*whole.encode(text, add_special_tokens=False).ids, 1] for doc, text in rows if doc not in bad}
+    got = {}
+    for row in corpus_pipeline.run(spark, small).collect():
+        got.setdefault(row.doc_id, {})[row.start] = np.frombuffer(row.ids, "<u4").tolist()
+    assert {doc: [i for start in sorted(parts) for i in parts[start]] for doc, parts in got.items()} == expected
+
+
+def test_each_filter_keeps_the_columns_and_handles_odd_rows(spark, small, tmp_path):
+    rows = [(None, None, None, None, None, 1.0), (1, "", "en", "s", 0, None), (1, "", "en", "s", 0, None), (2, "word " * 60_000, None, "s", 5, 2.0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, score double")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, small)
+        assert got.columns == docs.columns, name
+        got.collect()
+        assert stage(spark, docs.limit(0), small).count() == 0
+    assert corpus_pipeline.pack(spark, docs.limit(0), small).count() == 0
