@@ -24,6 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 #: The operators on training text are an optional subpackage with queries of its own.
 HAS_LLM = importlib.util.find_spec("ordermill.llm") is not None
 if HAS_LLM:
+    import corpus_pipeline
     from ordermill.llm import registry
 
 
@@ -183,7 +184,7 @@ def queries() -> dict[str, Query]:
         return lambda spark, folder: build(_Inputs(spark, folder))
 
     found = {name: bind(build) for name, build in _queries().items()}
-    return found | registry.queries() if HAS_LLM else found
+    return found | registry.queries() | {"pipeline": corpus_pipeline.run} if HAS_LLM else found
 
 
 def oracle_sql() -> dict[str, str]:
