@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
-_local_folders: dict[str, str] = {}
+_made: set[str] = set()
 
 
 def build_session(app_name: str = "ordermill", master: str | None = None, **conf: object) -> SparkSession:
@@ -38,16 +38,34 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by `spark.checkpoint.dir`.
+    """The folder for tables between jobs, as named by `spark.checkpoint.dir`; without it, one in the warehouse.
 
-    Only a local session may go without that setting; it then gets one temporary folder.
+    On a cluster both must be folders that every executor can reach.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="ordermill-")
-    return _local_folders[app]
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staged"
+
+
+def file_system(spark: SparkSession, folder: str) -> tuple:
+    """Hadoop's path of a folder and the file system that it is on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own below the shared one. It is removed when the session's JVM ends, or by `drop_folder`."""
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path, system = file_system(spark, folder)
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    _made.add(folder)
+    return folder
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder that `new_folder` made in this run; no other is touched."""
+    if folder not in _made:
+        raise ValueError(f"{folder} was not made by this run")
+    path, system = file_system(spark, folder)
+    system.delete(path, True)
+    _made.discard(folder)

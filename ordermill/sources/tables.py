@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.session import shared_folder
+from ordermill.session import new_folder
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -51,8 +51,11 @@ def _null_counts(df: DataFrame) -> list:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a table that several reports will read to the shared folder and read it back."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    """Write a table that several reports will read to the shared folder and read it back.
+
+    The folder lasts as long as the session.
+    """
+    path = f"{new_folder(df.sparkSession, name)}/table"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -67,5 +70,20 @@ def register_views(tables: Mapping[str, DataFrame], prefix: str) -> list[str]:
     return names
 
 
+def register_external(spark: SparkSession, paths: Mapping[str, str], prefix: str) -> list[str]:
+    """Catalog tables `<prefix>_<layer>_<name>` over written Parquet folders, which outlive the session with the catalog.
+
+    They own no files: dropping or replacing one leaves the data alone.
+    """
+    names = []
+    for key, path in paths.items():
+        name = f"{prefix}_{key.replace('/', '_')}"
+        schema = spark.read.parquet(path).schema.toDDL()
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet LOCATION '{path}'")
+        names.append(name)
+    return names
+
+
 def read_view(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
