@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable, Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.order_time import ISO_MILLIS
-from ordermill.sources.jdbc import require_columns
+from ordermill.sources.jdbc import SourceSchemaError, require_columns
+
+UNREADABLE = "unreadable"
 
 # Source names, target names in table order, and target types.
 ITEM_NAMES = {
@@ -52,25 +56,45 @@ OPTION_TYPES = {
 }
 
 
-def bronze_order_items(raw: DataFrame) -> DataFrame:
-    """Order lines. Columns without a fixed type may be missing; those with one may not.
+def _resolved(raw: DataFrame, names: Mapping[str, str], needed: Iterable[str]) -> DataFrame:
+    """`raw` with known columns under their target names, whatever the case of the source's names.
 
-    A value that does not fit its type becomes NULL.
+    A source column may have its source name or the target name. Two of them for one target are an error.
     """
-    df = require_columns(require_columns(raw).withColumnsRenamed(ITEM_NAMES), tuple(ITEM_TYPES))
+    wanted = {source.lower(): target for source, target in names.items()} | {t.lower(): t for t in names.values()}
+    targets: dict[str, str] = {}
+    for column in require_columns(raw).columns:
+        target = wanted.get(column.lower(), column)
+        if target in targets:
+            raise SourceSchemaError(f"both {targets[target]} and {column} are {target}")
+        targets[target] = column
+    return require_columns(raw.toDF(*targets), tuple(needed))
+
+
+def _typed(name: str, kind: str) -> Column:
+    column = F.col(name)
+    return F.date_format(column.try_cast("timestamp"), ISO_MILLIS) if kind == ISO_MILLIS else column.try_cast(kind)
 
-    def normalised(name: str):
-        column = F.col(name)
-        if name == "creationtimeutc":
-            column = F.date_format(column.try_cast("timestamp"), ISO_MILLIS)
-        elif name in ITEM_TYPES:
-            column = column.try_cast(ITEM_TYPES[name])
-        return column.alias(name)
 
-    return df.select(*[normalised(c) for c in ITEM_COLUMNS if c in df.columns])
+def unreadable(columns: Mapping[str, str]) -> Column:
+    """Names of the columns that hold a value which does not fit its type."""
+    checks = [F.when(F.col(c).isNotNull() & _typed(c, kind).isNull(), F.lit(c)) for c, kind in columns.items()]
+    return F.array_compact(F.array(*checks)).alias(UNREADABLE)
+
+
+def bronze_order_items(raw: DataFrame, trace: bool = False) -> DataFrame:
+    """Order lines. Columns without a fixed type may be missing; those with one may not.
+
+    A value that does not fit its type becomes NULL; with `trace` a further column names such columns.
+    """
+    df = _resolved(raw, ITEM_NAMES | {"currency": "currency"}, ITEM_TYPES)
+    kinds = {c: ISO_MILLIS if c == "creationtimeutc" else ITEM_TYPES.get(c) for c in ITEM_COLUMNS if c in df.columns}
+    columns = [_typed(c, kind).alias(c) if kind else F.col(c) for c, kind in kinds.items()]
+    return df.select(*columns, *[unreadable({c: k for c, k in kinds.items() if k})] * trace)
 
 
-def bronze_order_item_options(raw: DataFrame) -> DataFrame:
+def bronze_order_item_options(raw: DataFrame, trace: bool = False) -> DataFrame:
     """Options of order lines. Columns the library does not know are kept as they are."""
-    df = require_columns(require_columns(raw).withColumnsRenamed(OPTION_NAMES), tuple(OPTION_TYPES))
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in OPTION_TYPES.items()})
+    df = _resolved(raw, OPTION_NAMES, OPTION_TYPES)
+    columns = [_typed(c, OPTION_TYPES[c]).alias(c) if c in OPTION_TYPES else F.col(f"`{c}`") for c in df.columns]
+    return df.select(*columns, *[unreadable(OPTION_TYPES)] * trace)

@@ -7,19 +7,28 @@ saves a shuffle when it starts from bronze, order grain saves reading lines when
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.amounts import MONEY_SUM
 from ordermill.functions.order_time import strict_order_date, tolerant_order_ts
+from ordermill.plans import bronze
 
 ITEM_MEASURES = ("revenue", "items", "lines", "priced_lines")
 
 
+def _flags(df: DataFrame, **columns: str) -> list[Column]:
+    """For each flag whether its column has a value or, of a traced table, one that could not be read."""
+    traced = bronze.UNREADABLE in df.columns
+    bad = F.col(bronze.UNREADABLE) if traced else F.array().cast("array<string>")
+    return [F.array_contains(bad, column).alias(flag) for flag, column in columns.items()]
+
+
 def silver_order_items(items: DataFrame) -> DataFrame:
     """Bronze lines plus both readings of the order time and the line's revenue.
 
-    Rows with an unreadable id or amount are flagged, not dropped.
+    Rows with an unreadable id or amount are flagged, not dropped. Of a traced bronze table the column `unreadable` stays, so an
+    absent amount can be told from one that could not be read.
     """
     revenue = F.col("itemprice") * F.col("itemquantity")
     return items.select(
@@ -34,6 +43,19 @@ def silver_order_items(items: DataFrame) -> DataFrame:
     )
 
 
+def silver_order_item_options(options: DataFrame) -> DataFrame:
+    """Bronze options plus the order time and the option's amount, with flags for what is missing or was unreadable."""
+    amount = F.col("optionprice") * F.col("optionquantity")
+    return options.select(
+        *[c for c in options.columns if c != bronze.UNREADABLE],
+        tolerant_order_ts(F.col("orderid")).alias("order_ts"),
+        amount.alias("option_amount"),
+        F.col("orderid").isNotNull().alias("has_order_id"),
+        amount.isNotNull().alias("has_amount"),
+        *_flags(options, unreadable_price="optionprice", unreadable_quantity="optionquantity"),
+    )
+
+
 def item_facts(items: DataFrame) -> DataFrame:
     """Measures of each order line."""
     revenue = (F.col("itemprice") * F.col("itemquantity")).cast(MONEY_SUM)

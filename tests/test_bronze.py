@@ -6,6 +6,9 @@ from decimal import Decimal
 import pytest
 
 from ordermill.plans.bronze import ITEM_COLUMNS, bronze_order_item_options, bronze_order_items
+from pyspark.sql import functions as F
+
+from ordermill.plans.silver import silver_order_item_options
 from ordermill.sources.jdbc import SourceSchemaError
 
 RAW = (
@@ -85,3 +88,31 @@ def test_options_keep_unknown_columns(spark):
     }
     row = out.first()
     assert (row["lineitemid"], row["optionquantity"], row["NOTE"]) == ("2", 3, "kept")
+
+
+@pytest.mark.parametrize("change", [str.upper, str.lower, lambda name: name.replace("_", "")])
+def test_names_in_any_case_give_all_columns(spark, change):
+    source = raw(spark)
+    df = bronze_order_items(source.toDF(*[change(c) for c in source.columns]))
+    assert tuple(df.columns) == ITEM_COLUMNS and df.first()["currency"] == "USD"
+
+
+def test_two_columns_for_one_target_are_an_error(spark):
+    with pytest.raises(SourceSchemaError, match="itemprice"):
+        bronze_order_items(raw(spark).withColumn("ItemPrice", F.lit("1")))
+    options = spark.createDataFrame([("o", "1", "g", "n", "1", "1", "2")], "order_id string, LINEITEM_ID string, g string, n string, OPTION_PRICE string, OPTION_QUANTITY string, ORDERID string")
+    with pytest.raises(SourceSchemaError, match="orderid"):
+        bronze_order_item_options(options)
+
+
+def test_a_trace_tells_unreadable_from_absent(spark):
+    items = bronze_order_items(raw(spark, item_price="free", item_quantity=None), trace=True).first()
+    assert (items["itemprice"], items["itemquantity"], items["unreadable"]) == (None, None, ["itemprice"])
+    options = spark.createDataFrame(
+        [("o", "1", "abc", "1"), ("o", "1", None, "1"), ("o", "1", "1.5", "x"), (None, "1", "2", "3")],
+        "ORDER_ID string, LINEITEM_ID string, OPTION_PRICE string, OPTION_QUANTITY string",
+    )
+    rows = silver_order_item_options(bronze_order_item_options(options, trace=True)).collect()
+    assert [(r["has_order_id"], r["has_amount"], r["unreadable_price"], r["unreadable_quantity"]) for r in rows] == [
+        (True, False, True, False), (True, False, False, False), (True, False, False, True), (False, True, False, False),
+    ]
