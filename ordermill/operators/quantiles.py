@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 VALUE = "decimal(20,2)"
+MOST, LIMIT = "999999999999999999.99", 999_999_999_999_999_872.0  # the largest amount, and the largest double below it
 
 
 def quantiles(
@@ -41,77 +42,78 @@ def quantiles(
 def _exact(df: DataFrame, wanted: Mapping[str, tuple[str, str]], accuracy: int) -> Column:
     """Bracket each quantile with a sketch, then count exactly, keeping only in-bracket values apart.
 
-    All other values collapse into one counted gap per side, in order, so a running count over
-    the remaining keys gives true ranks. These keys are the distinct values between two ranks that
-    lie some 10 / accuracy of all rows apart. A sketch that missed its bracket is an error.
+    Every row falls into a slot of its column: a bracket, where values are counted one by one, or a gap between brackets, which is
+    one count. A rank is the running count inside a bracket plus the totals of the slots below, so a task of
+    the last window holds one bracket: the distinct values between two ranks some 10 / accuracy of all rows apart.
+
+    The sketch works on doubles; its bounds are widened by more than a double's spacing at their size, so they bracket
+    the stored decimals whatever their size.
     """
     columns = list(dict.fromkeys(column for column, _ in wanted.values()))
     fractions = {c: sorted({Fraction(p) for col, p in wanted.values() if col == c}) for c in columns}
     margin = Fraction(4, accuracy)
 
-    sketch = df.agg(
-        F.struct(
-            *[
-                F.percentile_approx(
-                    F.col(c).cast(VALUE),
-                    [float(x) for p in fractions[c] for x in (max(p - margin, 0), min(p + margin, 1))],
-                    accuracy,
-                ).alias(f"bounds_{c}")
-                for c in columns
-            ]
-        ).alias("s")
-    ).scalar()
+    def bounds(column: str) -> Column:
+        places = [float(x) for p in fractions[column] for x in (max(p - margin, 0), min(p + margin, 1))]
+        found = F.percentile_approx(F.col(column).cast("double"), places, accuracy)
+        spread = [F.abs(found[i]) * 2.0**-50 + 0.01 for i in range(len(places))]
+        wide = [found[i] + (spread[i] if i % 2 else -spread[i]) for i in range(len(places))]
+        most = F.lit(MOST).cast(VALUE)
+        fitted = [F.when(w >= LIMIT, most).when(w <= -LIMIT, -most).otherwise(w.cast(VALUE)) for w in wide]
+        return F.array(*[bound.cast(VALUE) for bound in fitted]).alias(column)
+
+    sketch = df.agg(F.struct(*[bounds(c) for c in columns]).alias("s")).scalar()
 
     def entry(column: str) -> Column:
-        key = _bracket_key(F.col(column).cast(VALUE), F.col("s")[f"bounds_{column}"], len(fractions[column]))
-        return F.struct(F.lit(column).alias("measure"), key.alias("key"))
+        value = F.col(column).cast(VALUE)
+        slot = _slot(value, F.col("s")[column], len(fractions[column]))
+        return F.struct(F.lit(column).alias("measure"), slot.alias("slot"), F.when(slot % 2 == 1, value).alias("value"))
 
     frequency = (
         df.select(*columns)
         .withColumn("s", sketch)
         .select(F.explode(F.array(*[entry(c) for c in columns])).alias("entry"))
-        .select("entry.measure", "entry.key")
-        .filter(F.col("key").isNotNull())
-        .groupBy("measure", "key")
+        .select("entry.*")
+        .filter(F.col("slot").isNotNull())
+        .groupBy("measure", "slot", "value")
         .agg(F.count("*").alias("n"))
     )
-    in_order = Window.partitionBy("measure").orderBy("key")
-    counted = frequency.select(
-        "measure",
-        "key",
-        F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0)).alias("seen"),
-        F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"),
+    slots = frequency.groupBy("measure", "slot").agg(F.sum("n").alias("n"))
+    totals = slots.agg(F.collect_list(F.struct("measure", "slot", "n"))).scalar()  # a few slots per column
+
+    def rows_of(entries: Column, column: Column, slot: Column | None = None) -> Column:
+        """All rows of a column, or those in slots below one."""
+        inside = F.filter(entries, lambda t: (t["measure"] == column) & (F.lit(True) if slot is None else t["slot"] < slot))
+        return F.aggregate(inside, F.lit(0).cast("bigint"), lambda total, t: total + t["n"])
+
+    in_order = Window.partitionBy("measure", "slot").orderBy("value")
+    counted = (
+        frequency.filter(F.col("slot") % 2 == 1)
+        .withColumn("running", F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("t", totals)
+        .select(
+            "measure",
+            "value",
+            (F.col("running") + rows_of(F.col("t"), F.col("measure"), F.col("slot"))).alias("seen"),
+            rows_of(F.col("t"), F.col("measure")).alias("total"),
+        )
     )
 
     def pick(column: str, p: Fraction) -> Column:
         rank = F.call_function("div", F.col("total") * p.numerator + (p.denominator - 1), F.lit(p.denominator))
         reached = (F.col("measure") == column) & (F.col("seen") >= F.greatest(rank, F.lit(1)))
-        return F.min(F.when(reached, F.col("key")))
+        return F.min(F.when(reached, F.col("value")))
 
-    picked = counted.agg(*[pick(c, Fraction(p)).alias(name) for name, (c, p) in wanted.items()])
     types = dict(df.dtypes)
-    fields = [
-        F.when(F.col(name)["gap"] == 1, F.raise_error(F.lit(f"quantile {name} fell outside its bracket")))
-        .otherwise(F.col(name)["value"])
-        .cast(types[wanted[name][0]])
-        .alias(name)
-        for name in wanted
-    ]
-    return picked.select(F.struct(*fields).alias("q")).scalar()
-
-
-def _bracket_key(value: Column, bounds: Column, brackets: int) -> Column:
-    """The value itself inside a bracket, else the gap it lies in; ordered like the values."""
-
-    def inside() -> Column:
-        return F.struct(value.alias("value"), F.lit(0).alias("gap"))
+    picked = [pick(c, Fraction(p)).cast(types[c]).alias(name) for name, (c, p) in wanted.items()]
+    return counted.agg(F.struct(*picked).alias("q")).scalar()
 
-    def gap(start: Column) -> Column:
-        return F.struct(start.cast(VALUE).alias("value"), F.lit(1).alias("gap"))
 
-    key = F.when(value < bounds[0], gap(F.lit(None)))
+def _slot(value: Column, bounds: Column, brackets: int) -> Column:
+    """2 i + 1 in bracket i, 2 i in the gap below it; slots are in the order of their values."""
+    slot = F.when(value < bounds[0], 0)
     for i in range(brackets):
-        key = key.when(value <= bounds[2 * i + 1], inside())
+        slot = slot.when(value <= bounds[2 * i + 1], 2 * i + 1)
         if i + 1 < brackets:
-            key = key.when(value < bounds[2 * i + 2], gap(bounds[2 * i + 1]))
-    return key.when(value > bounds[2 * brackets - 1], gap(bounds[2 * brackets - 1]))
+            slot = slot.when(value < bounds[2 * i + 2], 2 * i + 2)
+    return slot.when(value > bounds[2 * brackets - 1], 2 * brackets)

@@ -2,62 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def global_rank(df: DataFrame, value: str, name: str, slots: int = 128) -> DataFrame:
+def global_rank(df: DataFrame, value: str, name: str, ranges: int | None = None) -> DataFrame:
     """Add RANK() OVER (ORDER BY value DESC), NULLs last, without sorting the table in one task.
 
-    The distinct values, with their counts, are cut into value ranges of about equal size. A rank
-    is then the count in all higher ranges (one short array) plus the running count inside the
-    value's own range. Rows with the same value, however many, are one counted value until the
-    join back, where adaptive execution may split them. `df` is read three times: wrap an
-    expensive one with `shared`.
+    The distinct values, with their counts, are dealt out by value ranges; the range number is a column of that one
+    shuffle, so all its readers see the same ranges. A rank is the running count inside the value's range plus the total of
+    the ranges above, one number per range. Rows with the same value, however many, are one counted value
+    until the join back, where adaptive execution may split them. `df` is read twice: wrap an expensive one with `shared`.
+    The number of ranges is that of the shuffle partitions unless given; it must not be merged at run time, hence explicit.
     """
-    counts = df.groupBy(value).agg(F.count("*").alias("n"))
-    cuts = [i / slots for i in range(1, slots)]
-    splits = counts.agg(F.percentile_approx(value, cuts, 10 * slots).alias("splits")).scalar()
-
-    def slot(column: Column, splits: Column) -> Column:
-        return F.coalesce(F.size(F.filter(F.coalesce(splits, F.array()), lambda s: s < column)), F.lit(0))
-
-    # The ranges and the counts above them travel together, so both readers agree on them.
-    per_slot = F.col("per_slot")
-    table = (
-        counts.withColumn("splits", splits)
-        .withColumn("slot", slot(F.col(value), F.col("splits")))
-        .groupBy("slot")
-        .agg(F.sum("n").alias("n"), F.any_value("splits").alias("splits"))
-        .agg(F.any_value("splits").alias("splits"), F.collect_list(F.struct("slot", "n")).alias("per_slot"))
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.groupBy(F.col(value).alias("ranked_value")).agg(F.count("*").alias("n"))
+    in_order = F.col("ranked_value").desc_nulls_last()
+    dealt = counts.repartitionByRange(ranges, in_order).withColumn("range", F.spark_partition_id())
+    totals = F.collect_list(F.struct("range", "n"))
+    above = (
+        dealt.groupBy("range")
+        .agg(F.sum("n").alias("n"))
+        .agg(totals.alias("totals"))
         .select(
-            F.struct(
-                "splits",
-                F.transform(
-                    F.sequence(F.lit(0), F.lit(slots)),
-                    lambda s: F.aggregate(
-                        F.filter(per_slot, lambda x: x["slot"] > s),
-                        F.lit(0).cast("bigint"),
-                        lambda total, x: total + x["n"],
-                    ),
-                ).alias("above"),
-            ).alias("t")
+            F.transform(
+                F.sequence(F.lit(0), F.lit(ranges - 1)),
+                lambda r: F.aggregate(
+                    F.filter("totals", lambda t: t["range"] < r), F.lit(0).cast("bigint"), lambda total, t: total + t["n"]
+                ),
+            )
         )
         .scalar()
     )
-
-    higher = Window.partitionBy("slot").orderBy(F.col(value).desc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    ranks = (
-        counts.withColumn("t", table)
-        .withColumn("slot", slot(F.col(value), F.col("t.splits")))
-        .select(
-            F.col(value).alias("ranked_value"),
-            (
-                F.get(F.col("t.above"), F.col("slot")) + F.coalesce(F.sum("n").over(higher), F.lit(0)) + 1
-            ).alias(name),
-        )
+    higher = Window.partitionBy("range").orderBy(in_order).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = dealt.select(
+        "ranked_value", (F.get(above, F.col("range")) + F.coalesce(F.sum("n").over(higher), F.lit(0)) + 1).alias(name)
     )
     return df.join(ranks, F.col(value).eqNullSafe(F.col("ranked_value")), "left").drop("ranked_value")
 

@@ -50,6 +50,20 @@ def test_one_value_holding_most_rows(spark):
     assert found(spark, df, "v", accuracy=50) == [discrete(values, p) for p in FRACTIONS]
 
 
+@pytest.mark.parametrize(
+    "amount", ["90071992547409.93", "1234567890123.45", "999999999999999999.99", "-999999999999999999.99", "0.00"]
+)
+def test_large_amounts_are_exact(spark, amount):
+    df = spark.range(100).select(F.lit(amount).cast("decimal(20,2)").alias("v"))
+    assert found(spark, df, "v") == [Decimal(amount)] * len(FRACTIONS)
+
+
+def test_neighbouring_large_amounts(spark):
+    values = [Decimal("90071992547409.00") + Decimal(i) / 100 for i in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "v decimal(20,2)")
+    assert found(spark, df, "v", accuracy=50) == [discrete(values, p) for p in FRACTIONS]
+
+
 def test_several_columns_at_once(spark):
     df = spark.range(1, 1001).select(F.col("id").alias("a"), (F.col("id") * 2).cast("decimal(20,2)").alias("b"))
     q = quantiles(df, {"a33": ("a", "0.33"), "b66": ("b", "0.66")})
@@ -76,16 +90,16 @@ def ranks(values: list) -> list:
 
 
 @quick
-@given(st.lists(st.none() | st.integers(-30, 30), min_size=0, max_size=60), st.sampled_from([1, 2, 5, 128]))
-def test_global_rank_equals_brute_force(spark, values, slots):
+@given(st.lists(st.none() | st.integers(-30, 30), min_size=0, max_size=60), st.sampled_from([1, 2, 5, None]))
+def test_global_rank_equals_brute_force(spark, values, ranges):
     df = spark.createDataFrame([(v,) for v in values], "v int")
-    got = global_rank(df, "v", "r", slots).collect()
+    got = global_rank(df, "v", "r", ranges).collect()
     assert sorted(((r["v"], r["r"]) for r in got), key=repr) == ranks(values)
 
 
 def test_global_rank_keeps_every_row_of_a_large_tie(spark):
     df = spark.range(9_000).select(F.when(F.col("id") % 3 == 0, 5000).otherwise(F.col("id")).alias("v"), "id")
-    got = global_rank(df, "v", "r", slots=8)
+    got = global_rank(df, "v", "r", ranges=8)
     values = Counter(5000 if i % 3 == 0 else i for i in range(9_000))
     rank, expected = 1, {}
     for v in sorted(values, reverse=True):

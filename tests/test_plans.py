@@ -6,9 +6,12 @@ import re
 
 import pytest
 from plans import executed_nodes
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from bench import HEADLINE
+from ordermill.operators.ranking import global_rank
+from ordermill.operators.sharing import shared
 from ordermill.plans import silver
 from ordermill.sources import tables
 
@@ -41,6 +44,24 @@ def test_no_single_task_takes_unbounded_rows(spark, small, name):
             assert "Aggregate" in below.nodeName()
 
 
+@pytest.mark.parametrize("name", ["clv_orders", "rfm", "loyalty", "location"])
+def test_no_window_runs_on_a_handful_of_keys_and_no_aggregate_sorts(spark, small, name):
+    """A window's task holds one bracket of a quantile or one range of a rank, never all values of a column."""
+    nodes = executed_nodes(entry.queries()[name](spark, small))
+    for node in nodes:
+        if node.nodeName() == "Window":
+            keys = node.partitionSpec().mkString(",")
+            assert "range" in keys or "slot" in keys
+    assert not [n for n in nodes if n.nodeName() == "SortAggregate"]
+
+
+def test_rank_deals_the_values_out_once(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 503).alias("v"))
+    nodes = executed_nodes(global_rank(shared(df), "v", "r", 6))
+    ranged = [n for n in nodes if n.nodeName() == "Exchange" and "rangepartitioning" in n.outputPartitioning().toString()]
+    assert len(ranged) == 1
+
+
 def explained(df) -> str:
     return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
 
