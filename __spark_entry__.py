@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 import oracle_queries
 from ordermill.functions.order_time import strict_order_date
-from ordermill.plans import bronze, churn, clv, gold, location, loyalty, pricing, refresh, rfm, sales, silver, summary
-from ordermill.session import configure, shared_folder
+from ordermill.plans import activity, bronze, churn, clv, gold, location, loyalty, pricing, refresh, rfm, sales, silver, summary
+from ordermill.session import configure, new_folder
 from ordermill.sources import calendar, sample_orders, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,9 +31,9 @@ if HAS_LLM:
 class _Inputs:
     """The lazily derived tables that the queries start from."""
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
+    def __init__(self, spark: SparkSession, folder: str, restaurants: int | None = None) -> None:
         self.spark = configure(spark)
-        self.raw_items = sample_orders.raw_order_items(spark, folder)
+        self.raw_items = sample_orders.raw_order_items(spark, folder, restaurants)
         self.raw_options = sample_orders.raw_order_item_options(spark, folder)
         self.items = bronze.bronze_order_items(self.raw_items)
         self.options = bronze.bronze_order_item_options(self.raw_options)
@@ -72,13 +72,15 @@ class _Inputs:
         return calendar.date_dim_spanning(self.items.select(strict_order_date(F.col("orderid")).alias("day")), "day")
 
     def summary(self) -> DataFrame:
-        """Seven reports read the two order-grain tables, so these are written once, not derived seven times."""
+        """Seven reports read these tables, so they are written once, not derived seven times."""
         facts = tables.stage(self.order_facts, "order_facts")
         option_facts = tables.stage(silver.order_option_facts(self.options), "order_option_facts")
-        return summary.kpi_summary(summary.kpi_cards(facts, option_facts))
+        days = tables.stage(activity.restaurant_days(facts), "restaurant_days")
+        daily = tables.stage(gold.daily_clv(facts), "daily_clv")
+        return summary.kpi_summary(summary.kpi_cards(facts, option_facts, days, daily))
 
     def refreshed(self) -> tuple[str, dict[str, dict[str, int]]]:
-        root = f"{shared_folder(self.spark)}/refresh-{uuid.uuid4().hex}"
+        root = new_folder(self.spark, "refresh")
         return root, refresh.refresh(self.raw_items, self.raw_options, self.date_dim, root)
 
     def refresh_audit(self) -> DataFrame:
@@ -95,10 +97,12 @@ class _Inputs:
         return counts
 
     def location_from_tables(self) -> DataFrame:
-        """The location report from written tables through SQL views, cohort month by join."""
-        root, _ = self.refreshed()
+        """The location report from its two written tables through SQL views, cohort month by join."""
+        facts = tables.stage(self.order_facts, "order_facts")
         prefix = f"run{uuid.uuid4().hex[:8]}"
-        refresh.open_tables(self.spark, root, prefix)
+        tables.register_views(
+            {"silver/order_facts": facts, "gold/cohort": tables.stage(gold.cohort(facts), "cohort")}, prefix
+        )
         return location.location(
             tables.read_view(self.spark, f"{prefix}_silver_order_facts"),
             tables.read_view(self.spark, f"{prefix}_gold_cohort"),
@@ -116,6 +120,9 @@ def _queries() -> dict[str, Callable[[_Inputs], DataFrame]]:
         "date_dim": lambda i: i.spanning_calendar(),
         "source_audit": lambda i: i.audit(),
         "silver_order_items": lambda i: silver.silver_order_items(i.items),
+        "silver_order_item_options": lambda i: silver.silver_order_item_options(
+            bronze.bronze_order_item_options(i.raw_options, trace=True)
+        ),
         # Gold
         "gold_order_metrics": lambda i: gold.order_metrics(i.item_facts),
         "gold_daily_clv": lambda i: i.daily_clv(),
@@ -174,16 +181,25 @@ def _queries() -> dict[str, Callable[[_Inputs], DataFrame]]:
     }
 
 
+#: The same reports with all orders at twenty restaurants: many orders a day, and thousands for each of them.
+_DENSE = {
+    "loyalty_dense": lambda i: i.loyalty(ordered=True),
+    "location_dense": lambda i: location.location(i.order_facts),
+}
+DENSE_RESTAURANTS = 20
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Value and segment of every order."""
     return queries()["clv_orders"](spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Query]:
-    def bind(build: Callable[[_Inputs], DataFrame]) -> Query:
-        return lambda spark, folder: build(_Inputs(spark, folder))
+    def bind(build: Callable[[_Inputs], DataFrame], restaurants: int | None = None) -> Query:
+        return lambda spark, folder: build(_Inputs(spark, folder, restaurants))
 
     found = {name: bind(build) for name, build in _queries().items()}
+    found |= {name: bind(build, DENSE_RESTAURANTS) for name, build in _DENSE.items()}
     return found | registry.queries() | {"pipeline": corpus_pipeline.run} if HAS_LLM else found
 
 

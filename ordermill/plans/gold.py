@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.amounts import money
 from ordermill.functions.order_time import strict_order_date
+from ordermill.plans.activity import as_days
 
 
 def order_metrics(facts: DataFrame) -> DataFrame:
@@ -32,9 +33,9 @@ def category_revenue(items: DataFrame) -> DataFrame:
     )
 
 
-def retention(order_facts: DataFrame) -> DataFrame:
-    """Distinct orders of each restaurant and day. Order grain holds each order once, so a count will do."""
-    return order_facts.groupBy("restaurantid", "order_date").agg(F.count("orderid").alias("orders"))
+def retention(facts: DataFrame) -> DataFrame:
+    """Distinct orders of each restaurant and day, from orders or restaurant days. Both hold each order once, so they add up."""
+    return as_days(facts).groupBy("restaurantid", "order_date").agg(F.sum("orders").alias("orders"))
 
 
 def cohort(facts: DataFrame) -> DataFrame:

@@ -8,21 +8,23 @@ from pyspark.sql import functions as F
 from ordermill.functions.amounts import mean_money, money
 from ordermill.operators.ranking import global_rank, top
 from ordermill.operators.sharing import shared
+from ordermill.plans.activity import with_orders
 
 
-def location_figures(order_facts: DataFrame, cohort: DataFrame | None = None) -> DataFrame:
+def location_figures(facts: DataFrame, cohort: DataFrame | None = None) -> DataFrame:
     """Revenue, orders, mean line value and active days of each restaurant, not yet ranked.
 
     `cohort` is the gold table; without it the cohort month comes out of the same grouping. Days are
-    counted by grouping on them first, which spreads a large restaurant over many tasks.
+    counted by grouping on them first, which spreads a large restaurant over many tasks. `facts` are orders or restaurant days.
     """
     days = (
-        order_facts.filter(F.col("restaurantid").isNotNull() & F.col("orderid").isNotNull())
-        .groupBy("restaurantid", F.to_date("order_ts").alias("day"))
+        with_orders(facts)
+        .filter(F.col("restaurantid").isNotNull())
+        .groupBy("restaurantid", "day")
         .agg(
             F.sum("revenue").alias("revenue"),
             F.sum("priced_lines").alias("priced_lines"),
-            F.count("orderid").alias("orders"),
+            F.sum("orders").alias("orders"),
             F.min("order_date").alias("first_date"),
         )
     )
@@ -43,8 +45,8 @@ def location_figures(order_facts: DataFrame, cohort: DataFrame | None = None) ->
     )
 
 
-def location(order_facts: DataFrame, cohort: DataFrame | None = None, ordered: bool = True) -> DataFrame:
-    report = global_rank(shared(location_figures(order_facts, cohort)), "total_revenue", "revenue_rank")
+def location(facts: DataFrame, cohort: DataFrame | None = None, ordered: bool = True) -> DataFrame:
+    report = global_rank(shared(location_figures(facts, cohort)), "total_revenue", "revenue_rank")
     return report.orderBy(F.desc_nulls_last("total_revenue"), "restaurantid") if ordered else report
 
 

@@ -11,25 +11,27 @@ from ordermill.operators.distribution import label_counts
 from ordermill.operators.quantiles import quantiles
 from ordermill.operators.ranking import top
 from ordermill.operators.sharing import shared
+from ordermill.plans.activity import with_orders
 from ordermill.plans.sales import named_categories
 
 
-def loyalty(order_facts: DataFrame, method: str = "exact", ordered: bool = True) -> DataFrame:
+def loyalty(facts: DataFrame, method: str = "exact", ordered: bool = True) -> DataFrame:
     """Restaurants with orders, spend, mean line spend, monthly order rate and frequency segment.
 
     `orders_per_month` divides whole orders by whole days and drops the fraction before the factor
     of 30, so it is 0, 30, 60 and so on; `orders_per_month_exact` does not. Both are NULL if all
-    orders fall within one day.
+    orders fall within one day. `facts` are orders or restaurant days.
     """
     base = shared(
-        order_facts.filter(F.col("restaurantid").isNotNull() & F.col("orderid").isNotNull())
+        with_orders(facts)
+        .filter(F.col("restaurantid").isNotNull())
         .groupBy("restaurantid")
         .agg(
-            F.count("orderid").alias("total_orders"),
+            F.sum("orders").alias("total_orders"),
             F.sum("revenue").alias("spend"),
             F.sum("priced_lines").alias("priced_lines"),
-            F.min("order_ts").alias("first_ts"),
-            F.max("order_ts").alias("last_ts"),
+            F.min("first_ts").alias("first_ts"),
+            F.max("last_ts").alias("last_ts"),
         )
     )
     limits = quantiles(base, {"p75": ("total_orders", "0.75")}, method)

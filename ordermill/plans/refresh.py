@@ -1,54 +1,105 @@
-"""The daily run: bronze, silver and gold tables, each written once from the stored layer below."""
+"""The daily run: bronze, silver and gold tables, each written once from the stored layer below, published together."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ordermill.plans import bronze, gold, silver
+from ordermill.plans.activity import restaurant_days
 from ordermill.plans.summary import kpi_cards, kpi_summary
+from ordermill.session import file_system
 from ordermill.sources.tables import read_parquet, register_views, write_parquet
 
 BRONZE = ("order_items", "order_item_options", "date_dim")
-SILVER = ("order_items", "order_facts", "order_option_facts")
+SILVER = ("order_items", "order_item_options", "order_facts", "order_option_facts", "restaurant_days")
 GOLD = ("order_metrics", "daily_clv", "category_revenue", "retention", "cohort", "kpi_summary")
 TABLES = tuple(
     f"{layer}/{name}" for layer, names in (("bronze", BRONZE), ("silver", SILVER), ("gold", GOLD)) for name in names
 )
+#: Tables in folders by month of the order; orders without a date have a folder of their own.
+BY_MONTH = ("silver/order_items", "silver/order_facts", "gold/daily_clv")
+PUBLISHED = "_PUBLISHED"
 
 
-def refresh(raw_items: DataFrame, raw_options: DataFrame, date_dim: DataFrame, root: str) -> dict[str, dict[str, int]]:
-    """Write all tables below `root`, replacing those of the last run; returns each write's audit.
+def refresh(
+    raw_items: DataFrame, raw_options: DataFrame, date_dim: DataFrame, root: str, keep: int = 2
+) -> dict[str, dict[str, int]]:
+    """Write all tables as a new generation below `root` and publish it; returns each write's audit.
+
+    Readers see the last published generation. A run that fails leaves it whole, and what it wrote stays unread
+    until a later run removes it. The last `keep` generations are kept for readers who have them open.
 
     The source is read once, bronze lines once, silver lines twice; every order-grain gold table
     comes from the stored order facts, a fraction of the lines in size.
     """
     spark = raw_items.sparkSession
+    generation = max(_generations(spark, root, published=False), default=0) + 1
+    target = f"{root}/{_name(generation)}"
     audits: dict[str, dict[str, int]] = {}
 
     def store(table: str, df: DataFrame) -> DataFrame:
-        audits[table] = write_parquet(df, f"{root}/{table}")
-        return read_parquet(spark, f"{root}/{table}")
+        if table in BY_MONTH:
+            month = F.date_format("order_date", "yyyy-MM").alias("order_month")
+            by_month = df.select("*", month).hint("rebalance", "order_month")  # large months stay several files
+            audits[table] = write_parquet(by_month, f"{target}/{table}", ["order_month"])
+        else:
+            audits[table] = write_parquet(df, f"{target}/{table}")
+        return read_parquet(spark, f"{target}/{table}")
 
-    items = store("bronze/order_items", bronze.bronze_order_items(raw_items))
-    options = store("bronze/order_item_options", bronze.bronze_order_item_options(raw_options))
+    items = store("bronze/order_items", bronze.bronze_order_items(raw_items, trace=True))
+    options = store("bronze/order_item_options", bronze.bronze_order_item_options(raw_options, trace=True))
     store("bronze/date_dim", date_dim)
 
     lines = store("silver/order_items", silver.silver_order_items(items))
+    store("silver/order_item_options", silver.silver_order_item_options(options))
     facts = store("silver/order_facts", silver.order_facts(lines))
     option_facts = store("silver/order_option_facts", silver.order_option_facts(options))
+    days = store("silver/restaurant_days", restaurant_days(facts))
 
     store("gold/order_metrics", gold.order_metrics(facts))
-    store("gold/daily_clv", gold.daily_clv(facts))
+    daily = store("gold/daily_clv", gold.daily_clv(facts))
     store("gold/category_revenue", gold.category_revenue(lines))
-    store("gold/retention", gold.retention(facts))
-    store("gold/cohort", gold.cohort(facts))
-    store("gold/kpi_summary", kpi_summary(kpi_cards(facts, option_facts)))
+    store("gold/retention", gold.retention(days))
+    store("gold/cohort", gold.cohort(days))
+    store("gold/kpi_summary", kpi_summary(kpi_cards(facts, option_facts, days, daily)))
+
+    path, system = file_system(spark, f"{target}/{PUBLISHED}")
+    system.create(path, False).close()
+    kept = sorted(_generations(spark, root))[-keep:]
+    for old in _generations(spark, root, published=False):
+        if old < min(kept):
+            path, system = file_system(spark, f"{root}/{_name(old)}")
+            system.delete(path, True)
     return audits
 
 
+def _name(generation: int) -> str:
+    return f"generation-{generation:08d}"
+
+
+def _generations(spark: SparkSession, root: str, published: bool = True) -> list[int]:
+    path, system = file_system(spark, root)
+    if not system.exists(path):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(path)]
+    found = [int(name.removeprefix("generation-")) for name in names if name.startswith("generation-")]
+    if not published:
+        return found
+    return [g for g in found if system.exists(file_system(spark, f"{root}/{_name(g)}/{PUBLISHED}")[0])]
+
+
+def table_paths(spark: SparkSession, root: str) -> dict[str, str]:
+    """The folders of the tables of the last published run."""
+    generations = _generations(spark, root)
+    if not generations:
+        raise FileNotFoundError(f"no finished run below {root}")
+    return {table: f"{root}/{_name(max(generations))}/{table}" for table in TABLES}
+
+
 def open_tables(spark: SparkSession, root: str, prefix: str | None = None) -> dict[str, DataFrame]:
-    """The tables of a finished run, with `prefix` also as SQL views `<prefix>_<layer>_<name>`."""
-    tables = {table: read_parquet(spark, f"{root}/{table}") for table in TABLES}
+    """The tables of the last published run, with `prefix` also as SQL views `<prefix>_<layer>_<name>`."""
+    tables = {table: read_parquet(spark, path) for table, path in table_paths(spark, root).items()}
     if prefix:
         register_views(tables, prefix)
     return tables

@@ -11,20 +11,21 @@ from ordermill.operators.distribution import label_counts
 from ordermill.operators.quantiles import quantiles
 from ordermill.operators.ranking import top
 from ordermill.operators.sharing import shared
+from ordermill.plans.activity import with_orders
 
 
-def rfm(order_facts: DataFrame, method: str = "exact", ordered: bool = True) -> DataFrame:
+def rfm(facts: DataFrame, method: str = "exact", ordered: bool = True) -> DataFrame:
     """Restaurants with recency in elapsed days, distinct orders, revenue and segment.
 
     The reference time is the latest order of all, restaurants without an id included; they are
-    dropped only after it is known, so one grouping serves both.
+    dropped only after it is known, so one grouping serves both. `facts` are orders or restaurant days.
     """
     per_restaurant = shared(
-        order_facts.filter(F.col("orderid").isNotNull())
+        with_orders(facts)
         .groupBy("restaurantid")
         .agg(
-            F.max("order_ts").alias("last_ts"),
-            F.count("orderid").alias("frequency"),
+            F.max("last_ts").alias("last_ts"),
+            F.sum("orders").alias("frequency"),
             money(F.sum("revenue")).alias("monetary"),
             F.count("restaurantid").alias("known"),
         )

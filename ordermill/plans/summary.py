@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.plans.activity import restaurant_days
 from ordermill.plans.churn import churn, churn_kpis
 from ordermill.plans.clv import clv_kpis, clv_orders
 from ordermill.plans.gold import daily_clv, retention
@@ -17,15 +18,26 @@ from ordermill.plans.rfm import rfm, rfm_kpis
 from ordermill.plans.sales import sales_kpis
 
 
-def kpi_cards(order_facts: DataFrame, order_option_facts: DataFrame, method: str = "exact") -> dict[str, DataFrame]:
-    """The one-row figures of every report, from the two order-grain tables."""
+def kpi_cards(
+    order_facts: DataFrame,
+    order_option_facts: DataFrame,
+    days: DataFrame | None = None,
+    daily: DataFrame | None = None,
+    method: str = "exact",
+) -> dict[str, DataFrame]:
+    """The one-row figures of every report.
+
+    Order values and pricing read the two order-grain tables. The reports per restaurant read `days` (restaurant days), sales reads `daily` (gold
+    daily_clv); without such a stored table it is derived from the order facts.
+    """
+    days = restaurant_days(order_facts) if days is None else days
     return {
         "clv": clv_kpis(clv_orders(order_facts, order_option_facts, method)),
-        "rfm": rfm_kpis(rfm(order_facts, method, ordered=False)),
-        "churn": churn_kpis(churn(retention(order_facts), ordered=False)),
-        "sales": sales_kpis(daily_clv(order_facts)),
-        "loyalty": loyalty_kpis(loyalty(order_facts, method, ordered=False)),
-        "location": location_kpis(location_figures(order_facts)),
+        "rfm": rfm_kpis(rfm(days, method, ordered=False)),
+        "churn": churn_kpis(churn(retention(days), ordered=False)),
+        "sales": sales_kpis(daily_clv(order_facts) if daily is None else daily),
+        "loyalty": loyalty_kpis(loyalty(days, method, ordered=False)),
+        "location": location_kpis(location_figures(days)),
         "pricing": pricing_kpis(pricing(order_facts, order_option_facts)),
     }
 

@@ -41,7 +41,9 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_order_items(spark: SparkSession, folder: str) -> DataFrame:
+def raw_order_items(spark: SparkSession, folder: str, restaurants: int | None = None) -> DataFrame:
+    """Order lines; with `restaurants` all customers' orders go to that many restaurants, some of them very large."""
+    restaurant = F.col("o_custkey") if restaurants is None else F.col("o_custkey") % restaurants
     category = (
         F.when(F.col("p_size") % 17 == 0, F.lit(None)).when(F.col("p_size") % 19 == 0, F.lit("")).otherwise(F.col("p_type"))
     )
@@ -57,7 +59,7 @@ def raw_order_items(spark: SparkSession, folder: str) -> DataFrame:
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .select(
             F.lit("app").alias("app_name"),
-            F.col("o_custkey").alias("restaurant_id"),
+            restaurant.alias("restaurant_id"),
             F.col("placed_at").alias("creation_time_utc"),
             "order_id",
             F.lit(None).cast("string").alias("user_id"),
