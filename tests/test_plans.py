@@ -12,7 +12,7 @@ import __spark_entry__ as entry
 from bench import HEADLINE
 from ordermill.operators.ranking import global_rank
 from ordermill.operators.sharing import shared
-from ordermill.plans import silver
+from ordermill.plans import activity, gold, silver, summary
 from ordermill.sources import tables
 
 QUERIES = (*HEADLINE, "date_dim", "clv_segments", "rfm_segments", "churn_status", "loyalty_segments", "pricing_kpis")
@@ -62,6 +62,18 @@ def test_rank_deals_the_values_out_once(spark):
     assert len(ranged) == 1
 
 
+def test_the_summary_reads_orders_twice_and_days_for_the_rest(spark, small):
+    i = entry._Inputs(spark, small)
+    facts = tables.stage(i.order_facts, "facts")
+    options = tables.stage(silver.order_option_facts(i.options), "options")
+    days = tables.stage(activity.restaurant_days(facts), "days")
+    daily = tables.stage(gold.daily_clv(facts), "daily")
+    nodes = executed_nodes(summary.kpi_summary(summary.kpi_cards(facts, options, days, daily)))
+    scans = [n.output().mkString(",") for n in nodes if n.nodeName().startswith("Scan parquet")]
+    assert sum("orderid" in columns and "order_revenue" not in columns for columns in scans) <= 4  # orders and options, twice each
+    assert len(scans) <= 9
+
+
 def explained(df) -> str:
     return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
 

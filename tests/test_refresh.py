@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from ordermill.plans import refresh
+from ordermill.plans import gold, refresh
 from ordermill.sources import sample_orders, tables
 from ordermill.sources.calendar import date_dim
 
@@ -42,3 +42,60 @@ def test_tables_answer_sql(spark, run):
     assert 0 < total.first()[0] < everything
     ranks = spark.sql("SELECT count(*) FROM shop_gold_cohort c JOIN shop_gold_retention USING (restaurantid)")
     assert ranks.first()[0] == tables.read_view(spark, "shop_gold_retention").count()
+
+
+def inputs(spark, small):
+    return (
+        sample_orders.raw_order_items(spark, small).limit(500),
+        sample_orders.raw_order_item_options(spark, small),
+        date_dim(spark, sample_orders.CALENDAR_FIRST, sample_orders.CALENDAR_LAST),
+    )
+
+
+def test_a_failed_run_leaves_the_last_one(spark, small, tmp_path, monkeypatch):
+    root = str(tmp_path / "lake")
+    with pytest.raises(FileNotFoundError):
+        refresh.open_tables(spark, root)
+    refresh.refresh(*inputs(spark, small), root)
+    before = refresh.table_paths(spark, root)
+    rows = {name: df.count() for name, df in refresh.open_tables(spark, root).items()}
+
+    def failing(facts):
+        raise RuntimeError("half-way")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(gold, "order_metrics", failing)
+        with pytest.raises(RuntimeError, match="half-way"):
+            refresh.refresh(*inputs(spark, small), root)
+    assert refresh.table_paths(spark, root) == before
+    assert {name: df.count() for name, df in refresh.open_tables(spark, root).items()} == rows
+    for _ in range(2):
+        refresh.refresh(*inputs(spark, small), root, keep=1)
+    left = sorted(path.name for path in (tmp_path / "lake").iterdir() if not path.name.startswith("."))
+    assert left == ["generation-00000004"]
+
+
+def test_a_month_reads_its_folder_only(spark, run):
+    root, _ = run
+    for table in refresh.BY_MONTH:
+        df = refresh.open_tables(spark, root)[table]
+        month = df.where("order_month is not null").first()["order_month"]
+        picked = df.where(df.order_month == month)
+        plan = picked._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(order_month" in plan
+        assert 0 < picked.count() < df.count()
+        assert df.where("order_month is null").count() == df.where("order_date is null").count() > 0
+
+
+def test_external_tables_are_read_by_another_session(spark, run):
+    root, audits = run
+    names = tables.register_external(spark, refresh.table_paths(spark, root), "lasting")
+    assert len(names) == len(refresh.TABLES)
+    other = spark.newSession()
+    assert not other.catalog.listTables("default") == []
+    assert other.table("lasting_gold_cohort").count() == audits["gold/cohort"]["rows"]
+    tables.register_external(spark, {"gold/cohort": refresh.table_paths(spark, root)["gold/cohort"]}, "lasting")
+    assert other.table("lasting_gold_cohort").count() == audits["gold/cohort"]["rows"]
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+    assert refresh.open_tables(spark, root)["gold/cohort"].count() == audits["gold/cohort"]["rows"]

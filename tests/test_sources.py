@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ordermill.session import shared_folder
-from ordermill.sources import tables
+from ordermill.sources import sample_orders, tables
 from ordermill.sources.calendar import FIRST_DAY, LAST_DAY, date_dim, date_dim_spanning
 from ordermill.sources.jdbc import JdbcSplit, SourceSchemaError, jdbc_options, read_jdbc, require_columns
 
@@ -134,18 +134,35 @@ def test_stage_writes_to_the_checkpoint_folder(spark):
 class Session:
     """A session without a checkpoint folder."""
 
-    def __init__(self, master):
-        self.conf, self.sparkContext, self.master, self.applicationId = self, self, master, "test-app"
+    def __init__(self):
+        self.conf = self.sparkContext = self
 
-    def get(self, key, default):
-        return default
+    def get(self, key, *default):
+        return default[0] if default else {"spark.sql.warehouse.dir": "store://warehouse/"}[key]
 
     def getCheckpointDir(self):
         return None
 
 
-def test_only_a_local_session_gets_a_folder_of_its_own():
-    local = Session("local[2]")
-    assert shared_folder(local) == shared_folder(local)
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(Session("spark://host:7077"))
+def test_without_a_checkpoint_folder_the_warehouse_holds_staged_tables():
+    assert shared_folder(Session()) == "store://warehouse/staged"
+
+
+def test_staged_folders_are_dropped_by_name_only(spark, tmp_path):
+    from ordermill.session import drop_folder, new_folder
+
+    folder = new_folder(spark, "mine")
+    spark.range(3).write.parquet(f"{folder}/table")
+    assert spark.read.parquet(f"{folder}/table").count() == 3
+    drop_folder(spark, folder)
+    with pytest.raises(Exception, match="does not exist|PATH_NOT_FOUND"):
+        spark.read.parquet(f"{folder}/table")
+    with pytest.raises(ValueError, match="not made by this run"):
+        drop_folder(spark, str(tmp_path))
+    assert tmp_path.exists()
+
+
+def test_few_restaurants_keep_all_lines(spark, small):
+    dense = sample_orders.raw_order_items(spark, small, 20)
+    assert dense.count() == sample_orders.raw_order_items(spark, small).count()
+    assert dense.select("restaurant_id").distinct().count() == 20
