@@ -22,7 +22,8 @@ from ordermill.sources import calendar, sample_orders, tables
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: The operators on training text are an optional subpackage with queries of its own.
-HAS_LLM = importlib.util.find_spec("ordermill.llm") is not None
+_found = importlib.util.find_spec("ordermill.llm")
+HAS_LLM = _found is not None and _found.origin is not None
 if HAS_LLM:
     import corpus_pipeline
     from ordermill.llm import registry
