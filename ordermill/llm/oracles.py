@@ -73,3 +73,36 @@ FROM parts p LEFT JOIN split r
   ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
 GROUP BY p.page_id, p.host, p.path
 """
+
+WARC = r"""
+WITH p AS (
+    SELECT page_id, html, md5(coalesce(html, '')) AS digest, page_id * 3600 + (1 + page_id % 5) * 86400 AS asked,
+           'day ' || page_id AS day,
+           lower(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1)) AS host, regexp_extract(url, '^(?s:.*?)://[^/?#]*([^#]*)', 1) AS rest
+    FROM pages
+), k AS (
+    SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(host, ':(80|443)?$', '')
+               || regexp_replace(regexp_replace(rest, '/\?', '?'), '/$', ''), '\?(utm_[^&]*&?)+', '?'), '(&utm_[^&]*)+', '', 'g'), '[?&]$', '') AS key
+    FROM p
+), responses AS (
+    SELECT key, page_id * 3600 AS at, page_id * 3 AS id, digest, day, html FROM k WHERE html IS NOT NULL AND host <> ''
+), revisits AS (
+    SELECT page_id * 3 + 1 AS record_id, asked AS at, * FROM k
+    UNION ALL SELECT page_id * 3 + 2, page_id - 10000000, * FROM k WHERE page_id % 13 = 0
+), linked AS (
+    SELECT v.*, r.id AS response_id, r.digest AS r_digest, r.day AS r_day, r.html AS r_html,
+           CASE WHEN v.page_id % 11 = 0 THEN false
+                WHEN v.page_id % 5 = 0 THEN v.day = r.day
+                WHEN v.page_id % 7 = 0 THEN false
+                ELSE v.digest = r.digest END AS same,
+           CASE WHEN v.page_id % 11 <> 0 AND v.page_id % 5 <> 0
+                THEN if(v.page_id % 3 = 0, 'W/', '') || '"' || v.digest || '"' ELSE '"' || r.digest || '"' END AS etag
+    FROM revisits v ASOF LEFT JOIN responses r ON v.key = r.key AND v.at * 10000000 + v.record_id > r.at * 10000000 + r.id
+)
+SELECT record_id, response_id,
+       CASE WHEN response_id IS NULL THEN 'missing' WHEN same THEN 'resolved' ELSE 'changed' END AS outcome,
+       CASE WHEN response_id IS NOT NULL AND same THEN concat_ws(chr(10), 'content-length: ' || strlen(r_html), 'content-type: text/html',
+            'date: asked ' || asked, 'etag: ' || etag, 'expires: soon', 'last-modified: ' || r_day) END AS headers,
+       CASE WHEN response_id IS NOT NULL AND same THEN md5(r_html) END AS payload_md5
+FROM linked
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import chunking, decontamination, main_text, oracles, packing, quality, simhash, substrings, token_files, url_filters
+from ordermill.llm import chunking, decontamination, main_text, oracles, packing, quality, simhash, substrings, token_files, url_filters, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,18 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.resolve(warc.archive_of(table(spark, folder, "pages")))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return found.select(
+        "record_id",
+        "response_id",
+        "outcome",
+        F.array_join(lines, "\n").alias("headers"),
+        F.md5(F.col("payload").cast("binary")).alias("payload_md5"),
+    )
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -94,6 +106,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
+        "op2_warc": op2_warc,
         "op3_simhash": op3_simhash,
         "op4_main_text": op4_main_text,
         "op5_url_filters": op5_url_filters,
@@ -106,4 +119,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filters": oracles.URL_FILTERS, "op6_substrings": oracles.SUBSTRINGS, "op7_decontamination": oracles.DECONTAMINATION}
+    return {"op2_warc": oracles.WARC, "op5_url_filters": oracles.URL_FILTERS, "op6_substrings": oracles.SUBSTRINGS, "op7_decontamination": oracles.DECONTAMINATION}
