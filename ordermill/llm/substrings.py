@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -171,8 +172,8 @@ def earlier_windows(passages: list[bytes], firsts: np.ndarray, window: int) -> l
     places = np.flatnonzero(inside + window < lengths[owner])
     earliest = np.append(firsts[owner[index.suffixes]], firsts.max())
     hits: list[list[tuple[int, int]]] = [[] for _ in passages]
-    for at in range(0, len(places), 100_000):
-        part = places[at : at + 100_000]
+    for at in range(0, len(places), 50_000):
+        part = places[at : at + 50_000]
         low, high = index.search(text[part[:, None] + np.arange(window)], least=2)
         found = high > low
         part, low, high = part[found], low[found], high[found]
@@ -227,18 +228,21 @@ def _searched(passages: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        rows = 0
-        for batch in batches:
-            held.append(batch)
-            rows += batch.num_rows
-            if rows >= 40_000:
+        rows = size = 0
+        for whole in batches:
+            for batch in (whole.slice(at, 2000) for at in range(0, whole.num_rows, 2000)):
+                held.append(batch)
+                rows += batch.num_rows
+                size += pc.sum(pc.binary_length(batch.column(6))).as_py() or 0
+                if size < 4_000_000 and rows < 40_000:
+                    continue
                 table = pa.Table.from_batches(held).combine_chunks()
                 anchor = table.column(0).to_numpy()
                 cut = int(np.searchsorted(anchor, anchor[-1]))
                 if cut:
                     yield shard(table.slice(0, cut))
                 held = table.slice(cut).to_batches()
-                rows = table.num_rows - cut
+                rows, size = table.num_rows - cut, size if not cut else 0
         if rows:
             yield shard(pa.Table.from_batches(held))
 
@@ -282,8 +286,17 @@ def without_repeats(
         return rows.join(other, same, "left").drop("_id", "_row")
 
     digests = rows.where(~F.col(_NONE)).select(F.col(_ID).alias("id"), F.col(_ROW).alias("row"), _DIGEST)
-    firsts = digests.groupBy(_DIGEST).agg(F.min("id").alias("first"))
-    copies = digests.join(firsts, _DIGEST).where("id > first").groupBy("id", "row").agg(F.lit(True).alias(_COPY))
+    salted = digests.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(64)))  # so a text of very many copies is no single key
+    parts = salted.groupBy(_DIGEST, "salt").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    firsts = (
+        parts.groupBy(_DIGEST)
+        .agg(F.min("first").alias("first"), F.sum("n").alias("n"), F.collect_list("salt").alias("salts"))
+        .where("n > 1")
+        .select(_DIGEST, "first", F.explode("salts").alias("salt"))
+    )
+    copies = (
+        salted.join(firsts, [_DIGEST, "salt"]).where("id > first").groupBy("id", "row").agg(F.lit(True).alias(_COPY))
+    )
     fresh = found(copies).where(F.col(_COPY).isNull())
     shared = _shared_anchors(_asked_anchors(_ordered(fresh, text_column), window, gram, crowd), crowd)
     met = found(shared).where(F.col("anchors").isNotNull())

@@ -23,7 +23,7 @@ class WordEncoder:
     normalizer does no more than lower-case. At most `limit` words and pieces are remembered, then the memory starts anew.
     """
 
-    def __init__(self, path: str, limit: int = 1_500_000) -> None:
+    def __init__(self, path: str, limit: int = 500_000) -> None:
         self.full = Tokenizer.from_file(path)
         self.pieces = Tokenizer.from_file(path)
         self.pieces.normalizer = normalizers.Sequence([])
