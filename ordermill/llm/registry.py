@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,8 @@ RULES = [
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A given table. Python workers on the driver's machine then find this package where the driver found it."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
