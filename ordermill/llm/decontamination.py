@@ -85,9 +85,9 @@ def contamination(
     Null and empty texts have no words and are never hit. Repeated rows each get their result, rows that share an id but not the text
     are judged apart. Items without id or words, and repeated items, add nothing. Other columns are not read. No items: no hits.
     """
-    rows = keyed(docs.select(id_column, text_column), id_column, text_column).select(
-        id_column, _ID, _KEY, words_of(text_column).alias("words")
-    )
+    texts = keyed(docs.select(id_column, text_column), id_column, text_column)
+    words = words_of(text_column).alias("words")
+    rows = texts.select(_ID, _KEY, words)
     windows = staged(item_windows(items, window, item_column, item_text), "windows")
     tokens = staged(prefix_tokens(windows, rows), "tokens")
     start = F.col("place") - F.col("offset")
@@ -103,9 +103,9 @@ def contamination(
         lambda c: F.array_join(F.slice("words", c["start"] + 1, c["size"]), " ") == c["window"],
     )
     judged = staged(
-        rows.join(candidates, [_ID, _KEY], "left").select(
-            id_column, _ID, _KEY, F.size("words").cast("bigint").alias("n_words"), F.array_sort(found).alias("found")
-        ),
+        texts.join(candidates, [_ID, _KEY], "left")  # the text is shuffled, not its words one by one
+        .select(id_column, _ID, _KEY, words, "candidates")
+        .select(id_column, _ID, _KEY, F.size("words").cast("bigint").alias("n_words"), F.array_sort(found).alias("found")),
         "judged",
     )
     covered = F.aggregate(
