@@ -48,7 +48,7 @@ def prefix_tokens(windows: DataFrame, docs: DataFrame) -> DataFrame:
     places = windows.select("size", "window").distinct().select(
         "size", "window", F.posexplode(F.split("window", " ", -1)).alias("offset", "word")
     )
-    vocabulary = places.select("word").distinct()
+    vocabulary = staged(places.select("word").distinct(), "vocabulary")  # of known size, so a small one is broadcast
     counts = (
         docs.select(F.explode("words").alias("word"))
         .join(vocabulary, "word", "left_semi")
