@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.bitslice import forest_within
+from ordermill.llm.bitslice import forest_within, pairs_within
 from ordermill.llm.components import connected_components
 from ordermill.llm.shared import as_bytes, staged
 
@@ -70,30 +70,59 @@ def block_masks(radius: int, spare: int = 1) -> list[int]:
     return [sum(chosen) for chosen in combinations(blocks, spare + 1)]
 
 
-def near_links(cells: DataFrame, node: str, radius: int, chunk: int = 4096) -> DataFrame:
-    """(a, b, distance): links between rows of `cells` (cell, node, fp) of one cell that are at most `radius` bits apart.
-
-    All that lie within the radius in a cell are connected by the links, nearest pairs first; further pairs among the connected are
-    not written out, so a cell of near copies gives as many links as rows, not all pairs.
+def _dealt(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """`rows` (cell, node, ...) with each cell of `sizes` (cell, parts) in one task, sorted by cell and node.
 
-    Cells are compared in the order of a sort, many in one step of numpy. A cell of over `chunk` rows is split: its
-    rows get a part number and go to every pair of parts, so each task holds at most two parts and no pair is lost.
+    Rows of a cell of more than one part get a part number and go to every pair of parts; each pair is then a cell of its own.
     """
-    sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > chunk)
-    parts = F.ceil(F.col("n") / chunk).cast("int")
+    parts = F.col("parts")
     part = F.pmod(F.xxhash64("node"), parts).cast("int")
     meetings = F.transform(
         F.sequence(F.lit(0), parts - 1), lambda other: F.struct(F.least(part, other).alias("p"), F.greatest(part, other).alias("q"))
     )
     one = F.array(F.struct(F.lit(0).alias("p"), F.lit(0).alias("q")))
-    dealt = (
-        cells.select("cell", F.col(node).alias("node"), "fp")
-        .join(sizes, "cell", "left")
-        .select("cell", F.explode(F.when(F.col("n").isNull(), one).otherwise(meetings)).alias("meeting"), "node", "fp")
-        .select(F.xxhash64("cell", "meeting").alias("cell"), "node", "fp")
+    rest = [name for name in rows.columns if name != "cell"]
+    return (
+        rows.join(sizes.where(parts > 1), "cell", "left")
+        .select("cell", F.explode(F.when(parts.isNull(), one).otherwise(meetings)).alias("meeting"), *rest)
+        .select(F.xxhash64("cell", "meeting").alias("cell"), *rest)
         .repartition("cell")
         .sortWithinPartitions("cell", "node")
     )
+
+
+def _whole_cells(batches: Iterator[pa.RecordBatch], rows: int = 50_000, size: int = 1 << 25) -> Iterator[pa.Table]:
+    """Tables of about so many rows or bytes, each of whole cells; the first column is the cell, in sorted order."""
+    held: list[pa.RecordBatch] = []
+    count = weight = 0
+    for batch in batches:
+        held.append(batch)
+        count += batch.num_rows
+        weight += batch.nbytes
+        if count >= rows or weight >= size:
+            table = pa.Table.from_batches(held).combine_chunks()
+            cell = table.column(0).to_numpy()
+            cut = int(np.searchsorted(cell, cell[-1]))  # the last cell may go on in the next batch
+            if cut:
+                yield table.slice(0, cut)
+            held = table.slice(cut).to_batches()
+            count = table.num_rows - cut
+            weight = sum(batch.nbytes for batch in held)
+    if count:
+        yield pa.Table.from_batches(held)
+
+
+def near_links(cells: DataFrame, node: str, radius: int, chunk: int = 4096) -> DataFrame:
+    """(a, b, distance): links between rows of `cells` (cell, node, fp) of one cell that are at most `radius` bits apart.
+
+    All that lie within the radius in a cell are connected by the links, nearest pairs first; further pairs among the connected are
+    not written out, so a cell of near copies gives as many links as rows, not all pairs.
+
+    Cells are compared in the order of a sort, many in one step of numpy. A cell of over `chunk` rows is split: its
+    rows get a part number and go to every pair of parts, so each task holds at most two parts and no pair is lost.
+    """
+    sizes = cells.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("parts"))
+    dealt = _dealt(cells.select("cell", F.col(node).alias("node"), "fp"), sizes)
     node_type = cells.schema[node].dataType.simpleString()
 
     def links(cell: np.ndarray, nodes: pa.Array, fps: np.ndarray) -> pa.RecordBatch:
@@ -102,22 +131,7 @@ def near_links(cells: DataFrame, node: str, radius: int, chunk: int = 4096) -> D
         return pa.RecordBatch.from_arrays([*ends, pa.array(distance)], ["a", "b", "distance"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        rows = 0
-        for batch in batches:
-            held.append(batch)
-            rows += batch.num_rows
-            if rows >= 50_000:
-                table = pa.Table.from_batches(held).combine_chunks()
-                cell = table.column(0).to_numpy()
-                cut = int(np.searchsorted(cell, cell[-1]))  # the last cell may go on in the next batch
-                if cut:
-                    done = table.slice(0, cut)
-                    yield links(cell[:cut], done.column(1).combine_chunks(), done.column(2).to_numpy())
-                held = table.slice(cut).to_batches()
-                rows = table.num_rows - cut
-        if rows:
-            table = pa.Table.from_batches(held)
+        for table in _whole_cells(batches):
             yield links(table.column(0).to_numpy(), table.column(1).combine_chunks(), table.column(2).to_numpy())
 
     return dealt.mapInArrow(run, f"a {node_type}, b {node_type}, distance bigint")
@@ -228,6 +242,80 @@ def _similar(pairs: DataFrame, similarity: float) -> DataFrame:
     return pairs.select("a", "b", "left", "right").mapInArrow(run, "a string, b string")
 
 
+def _joined(
+    cell: np.ndarray, fps: np.ndarray, label: np.ndarray, sets: list[np.ndarray], radius: int, similarity: float
+) -> list[tuple[int, int]]:
+    """Pairs of rows of one cell and of different labels that are within the radius and similar, as many as connect all such pairs.
+
+    A pair is passed over only if pairs that were found similar, or labels, connect its ends already.
+    """
+    parent = np.arange(label.max() + 1)
+
+    def find(labels: np.ndarray) -> np.ndarray:
+        found = parent[labels]
+        while (found != parent[found]).any():
+            found = parent[found]
+        return found
+
+    sizes = np.array([len(one) for one in sets])
+    edges = np.concatenate([[0], np.cumsum(sizes)])
+    values, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    marked = np.zeros(len(values), dtype=bool)
+    links = []
+    for i, j, _ in pairs_within(cell, fps, radius):
+        apart = find(label[i]) != find(label[j])
+        i, j = i[apart], j[apart]
+        order = np.lexsort((j, i))
+        i, j = i[order], j[order]
+        firsts, starts = np.unique(i, return_index=True)
+        for row, others in zip(firsts.tolist(), np.split(j, starts[1:]), strict=True):
+            mine = codes[edges[row] : edges[row + 1]]
+            marked[mine] = True
+            for at in range(0, len(others), 256):
+                part = others[at : at + 256]
+                part = part[find(label[part]) != find(label[row : row + 1])]
+                if not len(part):
+                    continue
+                counts = np.cumsum(marked[np.concatenate([codes[edges[k] : edges[k + 1]] for k in part.tolist()])])
+                both = np.diff(np.append(0, counts)[np.append(0, np.cumsum(sizes[part]))])
+                for other in part[both >= similarity * (sizes[row] + sizes[part] - both)].tolist():
+                    a, b = find(label[[row, other]]).tolist()
+                    if a != b:
+                        parent[max(a, b)] = min(a, b)
+                        links.append((row, other))
+            marked[mine] = False
+    return links
+
+
+def _missed_links(cells: DataFrame, sets: DataFrame, radius: int, similarity: float, chunk: int = 4096, size: int = 1 << 23) -> DataFrame:
+    """(a, b): roots to join as similar texts of theirs, within the radius, share a cell of `cells` (cell, node, fp, root).
+
+    Of every cell with several roots all pairs of different roots are compared by the sets (words, shingles) themselves, until they are
+    joined. A cell of two needs no second look: its only pair was a nearest one. Cells of over `chunk` rows or `size` bytes of sets are split.
+    """
+    mixed = (
+        cells.groupBy("cell")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"))
+        .where("low < high and n > 2")
+        .select("cell")
+    )
+    rows = cells.join(mixed, "cell", "left_semi").join(sets.withColumnRenamed("words", "node"), "node")
+    rows = staged(rows.select("cell", "node", "fp", "root", "shingles"), "mixed")
+    parts = F.greatest(F.count(F.lit(1)) / chunk, F.sum(F.length("shingles")) / size)
+    dealt = _dealt(rows, rows.groupBy("cell").agg(F.ceil(parts).cast("int").alias("parts")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_cells(batches):
+            root = table.column(3).combine_chunks()
+            label = root.dictionary_encode().indices.to_numpy()
+            sets = [np.frombuffer(value, "<u4") for value in table.column(4).to_pylist()]
+            links = _joined(table.column(0).to_numpy(), table.column(2).to_numpy().view("<u8"), label, sets, radius, similarity)
+            ends = [root.take(pa.array([link[k] for link in links], pa.int64())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
+
+    return dealt.mapInArrow(run, "a string, b string")
+
+
 def drop_near_duplicates(
     docs: DataFrame,
     shingle: int = 5,
@@ -244,7 +332,8 @@ def drop_near_duplicates(
     `similarity` or more; groups are what such pairs connect. At 0.8 two SimHashes differ in ten bits on average and in
     `radius` almost never more, too many for the block masks of a small radius. So documents meet where a band of
     `rows` smallest hashes agrees (at 0.8 a pair misses all 20 bands with a chance of 0.0004). There SimHashes are compared
-    bit-sliced, the nearest links that connect a cell are kept, and the texts at their ends are compared exactly.
+    bit-sliced, the nearest links that connect a cell are kept, and the texts at their ends are compared exactly. Cells that these
+    leave in several groups are compared once more, all pairs of different groups within the radius, by their shingle sets.
 
     Texts with the same words in the same order are one node from the start. Null and empty texts are copies of each
     other. Of rows that repeat both id and text one stays; rows that share an id but not the text are separate documents.
@@ -261,12 +350,18 @@ def drop_near_duplicates(
     links = staged(near_links(cells, "words", radius).select("a", "b").distinct(), "candidates")
     ends = links.select(F.explode(F.array("a", "b")).alias("words")).distinct()
     first = distinct.join(ends, "words").select("best.*")
-    sets = _shingle_sets(keyed.join(first.select(_ID, _KEY), [_ID, _KEY]).select(text_column), shingle)
+    sets = staged(_shingle_sets(keyed.join(first.select(_ID, _KEY), [_ID, _KEY]).select(text_column), shingle), "shingles")
     pairs = (
         links.join(sets.select(F.col("words").alias("a"), F.col("shingles").alias("left")), "a")
         .join(sets.select(F.col("words").alias("b"), F.col("shingles").alias("right")), "b")
     )
     roots = connected_components(_similar(pairs, similarity), "a", "b")
+    rooted = cells.join(ends, "words", "left_semi").join(roots, F.col("words") == F.col("node"), "left").select(
+        "cell", F.col("words").alias("node"), "fp", F.coalesce("root", "words").alias("root")
+    )
+    missed = staged(_missed_links(rooted, sets, radius, similarity).distinct(), "missed")
+    if not missed.isEmpty():
+        roots = connected_components(missed.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))), "a", "b")
     groups = sketches.groupBy("words").agg(best).join(roots, F.col("words") == F.col("node"), "left")
     keepers = groups.groupBy(F.coalesce("root", "words").alias("root")).agg(F.min("best").alias("best"))
     kept = keyed.join(keepers.select(f"best.{_ID}", f"best.{_KEY}"), [_ID, _KEY])

@@ -135,3 +135,22 @@ def test_near_copies_of_the_given_documents(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert sorted((False, r.doc_id) for r in simhash.drop_near_duplicates(docs).collect()) == kept_plainly(rows)
+
+
+@pytest.mark.parametrize(("chunk", "size"), [(4096, 1 << 23), (40, 1 << 23), (4096, 20_000)])
+def test_a_template_with_different_texts_loses_no_similar_pair(spark, chunk, size, monkeypatch):
+    monkeypatch.setattr(simhash._missed_links, "__defaults__", (chunk, size))
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+
+    def edited(words, n):
+        words = list(words)
+        for at in rng.sample(range(len(words)), n):
+            words[at] = f"x{rng.randrange(10**6)}"
+        return words
+
+    texts = [edited(base, 4) for _ in range(120)]
+    texts += [edited(text, 3) for text in texts[::10]]
+    rows = [(at, " ".join(text)) for at, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted((False, r.doc_id) for r in simhash.drop_near_duplicates(docs).collect()) == kept_plainly(rows)
