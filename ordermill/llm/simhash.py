@@ -187,14 +187,17 @@ def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 
 def _sketches(rows: DataFrame, shingle: int, multipliers: np.ndarray) -> DataFrame:
-    """Digest of the word sequence, SimHash and band keys instead of the text, which is the last column of `rows`."""
+    """Digest of the word sequence, SimHash and band keys instead of the text, which is the last column of `rows`.
+
+    The SimHash is that of the distinct shingles, as the similarity is that of sets; `fingerprints` counts repeats.
+    """
     names = rows.columns[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digests, prints, keys = [], [], []
             for text in as_bytes(batch.column(len(names))):
-                hashes = shingle_hashes(text, shingle)
+                hashes = np.unique(shingle_hashes(text, shingle))
                 digests.append(_word_digest(text))
                 prints.append(fingerprint(hashes))
                 keys.append(_band_keys(hashes, multipliers))

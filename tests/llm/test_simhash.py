@@ -154,3 +154,15 @@ def test_a_template_with_different_texts_loses_no_similar_pair(spark, chunk, siz
     rows = [(at, " ".join(text)) for at, text in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert sorted((False, r.doc_id) for r in simhash.drop_near_duplicates(docs).collect()) == kept_plainly(rows)
+
+
+def test_repeats_of_a_line_do_not_part_near_copies(spark):
+    rows = []
+    for seed in range(6):
+        rng = random.Random(seed)
+        base = " ".join(f"w{rng.randrange(5000)}" for _ in range(500))
+        line = " ".join(f"l{k}{seed}" for k in range(10))
+        rows += [(len(rows) + at, base + f" {line}" * times) for at, times in enumerate((1, 60))]
+    assert len(kept_plainly(rows)) == 6
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted((False, r.doc_id) for r in simhash.drop_near_duplicates(docs).collect()) == kept_plainly(rows)
