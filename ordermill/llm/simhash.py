@@ -267,6 +267,8 @@ def _joined(
     links = []
     for i, j, _ in pairs_within(cell, fps, radius):
         apart = find(label[i]) != find(label[j])
+        if not apart.any():
+            continue
         i, j = i[apart], j[apart]
         order = np.lexsort((j, i))
         i, j = i[order], j[order]

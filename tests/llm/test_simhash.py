@@ -166,3 +166,11 @@ def test_repeats_of_a_line_do_not_part_near_copies(spark):
     assert len(kept_plainly(rows)) == 6
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert sorted((False, r.doc_id) for r in simhash.drop_near_duplicates(docs).collect()) == kept_plainly(rows)
+
+
+def test_cells_without_pairs_apart_give_no_links():
+    sets = [np.arange(at, at + 9, dtype="<u4") for at in (0, 0, 50)]
+    prints = np.array([1, 1, (1 << 40) - 1], dtype="<u8")
+    cell = np.array([5, 5, 5])
+    assert simhash._joined(cell, prints, np.array([0, 0, 1]), sets, 22, 0.8) == []
+    assert simhash._joined(cell, prints, np.array([0, 1, 2]), sets, 22, 0.8) == [(0, 1)]
