@@ -54,6 +54,7 @@ class _Lines(HTMLParser):
         self.open: list[tuple[str, bool, int]] = []  # tag, dropped, region or -1
         self.dropped = 0
         self.regions = 0
+        self.articles: set[int] = set()  # regions that are article or main elements
         self.contents = 0  # open article and main elements
         self.parts: list[str] = []
         self.tags = 0
@@ -81,6 +82,8 @@ class _Lines(HTMLParser):
         if tag in REGIONS:
             region = self.regions
             self.regions += 1
+            if tag in ("article", "main"):
+                self.articles.add(region)
         self.contents += tag in ("article", "main")
         self.dropped += dropped
         self.open.append((tag, dropped, region))
@@ -140,29 +143,41 @@ def smoothed(values: np.ndarray, sigma: float) -> np.ndarray:
     return total / np.convolve(np.ones(len(values)), weights)[reach : reach + len(values)]
 
 
-def content_region(lines: list[tuple[str, int, tuple[int, ...]]], sigma: float, share: float) -> int | None:
-    """The innermost region that holds this share of the text in dense lines, None if no region does.
+def content_region(lines: list[tuple[str, int, tuple[int, ...]]], articles: set[int], sigma: float, share: float) -> int | None:
+    """The article or main around the innermost region that holds this share of the text in dense lines, None if no region does.
+
+    Where no article or main is around it, the innermost region around it that holds all lines dense in themselves.
 
     A line's density is its characters per tag. Lines whose smoothed density reaches the spread (standard deviation) of all smoothed densities are
     dense.
     """
     sizes = np.array([len(text) for text, _, _ in lines], dtype=float)
-    density = smoothed(sizes / np.array([tags for _, tags, _ in lines]), sigma)
+    own = sizes / np.array([tags for _, tags, _ in lines])
+    density = smoothed(own, sigma)
     dense = density >= density.std()
     held: dict[int, float] = {}
     for at in np.flatnonzero(dense).tolist():
         for region in lines[at][2]:
             held[region] = held.get(region, 0) + sizes[at]
     enough = [region for region, size in held.items() if size >= share * sizes[dense].sum()]
-    return max(enough, default=None)  # regions are numbered as they open, so the largest lies innermost
-
-
-def _lines(html: str, marks: bool) -> list[tuple[str, int, tuple[int, ...]]]:
+    if not enough:
+        return None
+    inner = max(enough)  # regions are numbered as they open, so the largest lies innermost
+    path = next(path for _, _, path in lines if inner in path)
+    around = [region for region in path if region <= inner and region in articles]
+    if around:
+        return max(around)
+    firm = np.flatnonzero(dense & (own >= density.std())).tolist()  # not dense by their neighbours alone
+    shared = set.intersection(set(path[: path.index(inner) + 1]), *(set(lines[at][2]) for at in firm))
+    return max(shared, default=None)
+
+
+def _lines(html: str, marks: bool) -> tuple[list[tuple[str, int, tuple[int, ...]]], set[int]]:
     parser = _Lines(marks)
     parser.feed(html)
     parser.close()
     parser.end_line()
-    return parser.lines
+    return parser.lines, parser.articles
 
 
 def main_text(html: str, sigma: float = 1.0, share: float = 0.75) -> str:
@@ -170,10 +185,12 @@ def main_text(html: str, sigma: float = 1.0, share: float = 0.75) -> str:
 
     Where names of classes leave nothing (a frame around all of a page may have such a name) they are not heeded.
     """
-    lines = _lines(html, True) or _lines(html, False)
+    lines, articles = _lines(html, True)
+    if not lines:
+        lines, articles = _lines(html, False)
     if not lines:
         return ""
-    region = content_region(lines, sigma, share)
+    region = content_region(lines, articles, sigma, share)
     return "\n".join(text for text, _, path in lines if region is None or region in path)
 
 

@@ -74,3 +74,18 @@ def test_odd_rows(spark):
     assert got.columns == pages.columns
     assert [len(r.html) for r in got.orderBy("page_id").collect()] == [0, 0, 0, 499_999, 4]
     assert extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<article><h1>T</h1><section>{five}</section><section>{one}</section></article>",
+        "<article><h1>T</h1><div class='body'>{five}{one}</div></article>",
+        "<body><nav>menu</nav><article><h1>T</h1><div class='lead'>{one}</div><div class='body'>{five}</div></article><footer>f</footer>",
+        "<body><div><h1>T</h1><div>{five}</div><div>{one}</div></div>",
+    ],
+)
+def test_all_parts_of_an_article_stay(page):
+    line = LONG.strip()
+    page = page.format(five=f"<p>{LONG}</p>" * 5, one=f"<p>{LONG}</p>")
+    assert main_text(page).split("\n") == ["T", *[line] * 6]
