@@ -106,3 +106,47 @@ SELECT record_id, response_id,
        CASE WHEN response_id IS NOT NULL AND same THEN md5(r_html) END AS payload_md5
 FROM linked
 """
+
+FILTER_AUDIT = r"""
+WITH words AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), judged AS (
+    SELECT doc_id, part, [
+        len(w) < 50,
+        100 * len(list_distinct(w)) < 65 * len(w),
+        100 * len(regexp_extract_all(t, '[A-Z]')) > 5 * length(t),
+        regexp_matches(t, '[#$%&*|]'),
+        coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)
+    ] AS bad
+    FROM words
+), marks AS (
+    SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), counted AS (
+    SELECT part, bad, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, count(*) AS n
+    FROM judged LEFT JOIN marks USING (doc_id) GROUP BY ALL
+), letters AS (
+    SELECT unnest(range(1, 6)) AS k
+), orders AS (
+    SELECT [a.k, b.k, c.k, d.k, e.k] AS o
+    FROM letters a JOIN letters b ON b.k <> a.k JOIN letters c ON c.k NOT IN (a.k, b.k) JOIN letters d ON d.k NOT IN (a.k, b.k, c.k)
+    JOIN letters e ON e.k NOT IN (a.k, b.k, c.k, d.k)
+), run AS (
+    SELECT part, o, bad, good, toxic, n, coalesce(list_position([bad[x] FOR x IN o], true), 6) AS gone
+    FROM counted, orders
+), steps AS (
+    SELECT part, o, step, o[step] AS f, sum(CASE WHEN gone > step THEN n ELSE 0 END) AS kept,
+           sum(CASE WHEN gone = step THEN n ELSE 0 END) AS removed,
+           sum(CASE WHEN gone < step AND bad[o[step]] THEN n ELSE 0 END) AS redundant,
+           sum(CASE WHEN bad[o[step]] AND len([x FOR x IN bad IF x]) = 1 THEN n ELSE 0 END) AS unique_fails,
+           sum(CASE WHEN gone = step THEN n * good ELSE 0 END) AS good_lost,
+           sum(CASE WHEN gone = step THEN n * toxic ELSE 0 END) AS toxic_lost
+    FROM run, (SELECT unnest(range(1, 6)) AS step) GROUP BY ALL
+)
+SELECT part, array_to_string([substr('ABCDE', x, 1) FOR x IN o], '') AS filter_order, step::INT AS step, substr('ABCDE', f, 1) AS "filter",
+       kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+       good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM steps
+"""

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import chunking, decontamination, main_text, oracles, packing, quality, simhash, substrings, token_files, url_filters, warc
+from ordermill.llm import chunking, decontamination, filter_audit, main_text, oracles, packing, quality, simhash, substrings, token_files, url_filters, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -106,6 +106,10 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
@@ -118,8 +122,9 @@ def queries() -> dict[str, Query]:
         "op8_token_files": op8_token_files,
         "op9_fingerprints": op9_fingerprints,
         "op10_quality": op10_quality,
+        "op11_filter_audit": op11_filter_audit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": oracles.WARC, "op5_url_filters": oracles.URL_FILTERS, "op6_substrings": oracles.SUBSTRINGS, "op7_decontamination": oracles.DECONTAMINATION}
+    return {"op2_warc": oracles.WARC, "op5_url_filters": oracles.URL_FILTERS, "op6_substrings": oracles.SUBSTRINGS, "op7_decontamination": oracles.DECONTAMINATION, "op11_filter_audit": oracles.FILTER_AUDIT}

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ordermill.session import new_folder
 
@@ -18,3 +19,23 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def as_bytes(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a text column; null counts as empty."""
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
+
+
+def with_first(rows: DataFrame, key: str, value: str, salt: Column, name: str, salts: int = 256) -> DataFrame:
+    """`rows` with one column more: the smallest `value` of the rows with the same key, null where a row is alone with its key.
+
+    Rows meet by the key and a part of `salt`, which should differ between the rows of a large group, so that no task has all of them; what is joined
+    back is one row per key and part, and only for keys of several rows. Null keys meet no others. The rows are read twice.
+    """
+    salted = rows.withColumn(_SALT, F.pmod(F.xxhash64(salt), F.lit(salts)))
+    parts = salted.groupBy(key, _SALT).agg(F.min(value).alias(name), F.count(F.lit(1)).alias(_ROWS))
+    firsts = (
+        parts.groupBy(key)
+        .agg(F.min(name).alias(name), F.sum(_ROWS).alias(_ROWS), F.collect_list(_SALT).alias(_SALT))
+        .where(F.col(_ROWS) > 1)
+        .select(key, name, F.explode(_SALT).alias(_SALT))
+    )
+    return salted.join(firsts, [key, _SALT], "left").select(*rows.columns, name)
+
+
+_SALT, _ROWS = "__first_salt", "__first_rows"
