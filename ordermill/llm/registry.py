@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import chunking, decontamination, filter_audit, main_text, oracles, packing, quality, simhash, substrings, token_files, url_filters, warc
+from ordermill.llm import chunking, conversations, decontamination, filter_audit, main_text, oracles, packing, quality, simhash, substrings, token_files, url_filters, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,6 +110,10 @@ def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op12_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(table(spark, folder, "conversations")), copies="copies")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
@@ -123,6 +127,7 @@ def queries() -> dict[str, Query]:
         "op9_fingerprints": op9_fingerprints,
         "op10_quality": op10_quality,
         "op11_filter_audit": op11_filter_audit,
+        "op12_conversations": op12_conversations,
     }
 
 
