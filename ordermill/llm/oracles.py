@@ -150,3 +150,85 @@ SELECT part, array_to_string([substr('ABCDE', x, 1) FOR x IN o], '') AS filter_o
        (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
 FROM steps
 """
+
+
+def mixing(block: int = 64, shard_slots: int = 8192, seed: int = 13) -> str:
+    """The mix in SQL: the same draws and permutations, its targets from running sums over all sources at once."""
+    from ordermill.llm.mixing import PRIME, ROUNDS, SPREAD, number_of
+
+    steps, previous = [], "slots"
+    for r in range(ROUNDS):
+        key, a, b = (number_of(f"{seed}:{name}:{r}") for name in "kab")
+        pair = f"((xor({key}, (sid * 4 + epoch) * {SPREAD}) & {(1 << 62) - 1}) % greatest(full_blocks, 1) + full_blocks - x) % greatest(full_blocks, 1)"
+        bit = f"((greatest(x, y) % {PRIME}) * {a % PRIME} + {b % PRIME}) % {PRIME} % 2 = 1"
+        steps.append(
+            f"round{r} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN place < full_blocks AND {bit} THEN y ELSE x END AS x) FROM (SELECT * EXCLUDE (y), {pair} AS y FROM {previous}))"
+        )
+        previous = f"round{r}"
+    return rf"""
+WITH sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, row_number() OVER () AS r
+    FROM documents
+), numbered AS (
+    SELECT source, sum(size)::BIGINT AS size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid FROM sized GROUP BY source
+), weighted AS (
+    SELECT *, [5, 2, 1][sid % 3 + 1]::BIGINT AS weight, sum(size) OVER ()::BIGINT AS total FROM numbered
+), filling AS (
+    SELECT *, 3 * total - 2 * coalesce(sum(2 * size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS open_words,
+           sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight, row_number() OVER o AS place
+    FROM weighted WINDOW o AS (ORDER BY 10 * size // weight, sid)
+), turning AS (
+    SELECT open_words, open_weight, place FROM filling WHERE weight * open_words < 4 * size * open_weight ORDER BY place LIMIT 1
+), aimed AS (
+    SELECT f.*, CASE WHEN t.place IS NULL OR f.place < t.place THEN (2 * size)::DOUBLE
+                     ELSE (weight * t.open_words)::BIGINT::DOUBLE / (2 * t.open_weight)::BIGINT::DOUBLE END AS target
+    FROM filling f LEFT JOIN turning t ON true
+), needed AS (
+    SELECT sid, source, size, target, floor(target + 0.5)::BIGINT AS wanted, size // {block} AS full_blocks, (size + {block - 1}) // {block} AS blocks FROM aimed
+), quotas AS (
+    SELECT *, CASE WHEN size > 0 THEN wanted % size ELSE 0 END AS rest FROM needed
+), sources AS (
+    SELECT *, (CASE WHEN size > 0 THEN wanted // size ELSE 0 END) * blocks + (rest + {block - 1}) // {block} AS quota,
+           CASE WHEN rest > 0 THEN (rest - 1) % {block} + 1 END AS last_words
+    FROM quotas
+), ranged AS (
+    SELECT *, (sum(quota) OVER (ORDER BY sid))::BIGINT AS high FROM sources
+), slot_ids AS (
+    SELECT unnest(range((SELECT coalesce(max(high), 0) FROM ranged))) AS id
+), drawn AS (
+    SELECT id // {shard_slots} AS shard, sid, count(*) AS n
+    FROM (SELECT id, ('0x' || substr(md5('{seed}:' || id), 1, 15))::BIGINT % (SELECT max(high) FROM ranged) AS draw FROM slot_ids)
+    JOIN ranged ON draw >= high - quota AND draw < high GROUP BY ALL
+), placed_draws AS (
+    SELECT sid, (sum(n) OVER (PARTITION BY sid ORDER BY shard))::BIGINT - n AS first_slot, n FROM drawn
+), listed AS (
+    SELECT sid, unnest(range(first_slot, first_slot + n)) AS slot FROM placed_draws
+), drawn_totals AS (
+    SELECT r.sid, r.quota, coalesce(sum(n), 0)::BIGINT AS got FROM ranged r LEFT JOIN drawn d USING (sid) WHERE r.quota > 0 GROUP BY ALL
+), excess AS (
+    SELECT row_number() OVER (ORDER BY sid, slot) AS k FROM listed JOIN ranged USING (sid) WHERE slot >= quota
+), lacking AS (
+    SELECT sid, slot, row_number() OVER (ORDER BY sid, slot) AS k FROM (SELECT sid, unnest(range(got, quota)) AS slot FROM drawn_totals WHERE got < quota)
+), final_slots AS (
+    SELECT l.sid, l.slot FROM listed l JOIN ranged r USING (sid) WHERE l.slot < r.quota
+    UNION ALL SELECT l.sid, l.slot FROM excess JOIN lacking l USING (k)
+), slots AS (
+    SELECT f.sid, r.full_blocks, slot // r.blocks AS epoch, slot % r.blocks AS place, slot % r.blocks AS x, 0::BIGINT AS y,
+           CASE WHEN slot = r.quota - 1 THEN r.last_words END AS part
+    FROM final_slots f JOIN ranged r USING (sid)
+), {", ".join(steps)}, draws AS (
+    SELECT sid, x AS block, count(*) FILTER (part IS NULL) AS times, coalesce(max(part), 0) AS part FROM {previous} GROUP BY ALL
+), ordered AS (
+    SELECT d.*, s.sid, s.size AS source_size, s.target,
+           (sum(d.size) OVER (PARTITION BY s.sid ORDER BY doc_id NULLS FIRST, d.size, r))::BIGINT - d.size AS begin_at
+    FROM sized d JOIN ranged s ON d.source IS NOT DISTINCT FROM s.source
+), pieces AS (
+    SELECT r, sid, begin_at, size, unnest(range(begin_at // {block}, (begin_at + size - 1) // {block} + 1)) AS block FROM ordered WHERE size > 0
+), cut AS (
+    SELECT *, greatest(begin_at, block * {block}) - block * {block} AS offset_in, least(begin_at + size, (block + 1) * {block}) - greatest(begin_at, block * {block}) AS words
+    FROM pieces
+), sums AS (
+    SELECT r, sum(words * times + least(words, greatest(part - offset_in, 0)))::BIGINT AS taken FROM cut JOIN draws USING (sid, block) GROUP BY r
+)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM ordered LEFT JOIN sums USING (r)
+"""

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import chunking, conversations, decontamination, filter_audit, main_text, oracles, packing, quality, simhash, substrings, token_files, url_filters, warc
+from ordermill.llm import chunking, conversations, decontamination, filter_audit, main_text, mixing, oracles, packing, quality, simhash, substrings, token_files, url_filters, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,6 +114,10 @@ def op12_conversations(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.repair(conversations.damaged(table(spark, folder, "conversations")), copies="copies")
 
 
+def op13_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken(mixing.mix(table(spark, folder, "documents")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
@@ -128,8 +132,16 @@ def queries() -> dict[str, Query]:
         "op10_quality": op10_quality,
         "op11_filter_audit": op11_filter_audit,
         "op12_conversations": op12_conversations,
+        "op13_mixing": op13_mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": oracles.WARC, "op5_url_filters": oracles.URL_FILTERS, "op6_substrings": oracles.SUBSTRINGS, "op7_decontamination": oracles.DECONTAMINATION, "op11_filter_audit": oracles.FILTER_AUDIT}
+    return {
+        "op2_warc": oracles.WARC,
+        "op5_url_filters": oracles.URL_FILTERS,
+        "op6_substrings": oracles.SUBSTRINGS,
+        "op7_decontamination": oracles.DECONTAMINATION,
+        "op11_filter_audit": oracles.FILTER_AUDIT,
+        "op13_mixing": oracles.mixing(),
+    }
