@@ -43,15 +43,15 @@ def term_matrix(
     text_column: str = "text",
     measures: Mapping[str, Measure] | None = None,
     shard_bytes: int = 4_000_000,
-    shard_terms: int = 100_000,
+    span_terms: int = 300_000,
 ) -> TermMatrix:
     """The counts of the words (split by ASCII white space, case kept) of whole texts.
 
     `rows` has the other columns of `docs`, a number `row` that tells repeated rows apart, and what `measures` give for the text.
 
-    A task turns its texts into shards of some `shard_bytes` of text or `shard_terms` different words, with word numbers of the shard's own;
-    these are written once. The dictionary is the distinct words of all shards. Only each shard's list of different words is joined with it, never
-    the words of the texts: a word that every document has is one row per shard. The texts themselves are not shuffled.
+    A task turns its texts into shards of some `shard_bytes` of text. The shards of a span, up to `span_terms` different words, share word numbers of
+    their own; both are written once. The dictionary is the distinct words of all spans. Only each span's list of different words is joined with it, never
+    the words of the texts: a word that every document has is one row per span. The texts themselves are not shuffled.
 
     Null and empty texts are rows without terms. A very long text is a shard of its own. Repeated rows are rows of their own. `docs` must not have
     a column `row` or one named as a measure (ValueError). An empty table gives no shards and no terms.
@@ -64,28 +64,33 @@ def term_matrix(
     inner = ", ".join([*([fields] if fields else []), *(f"`{name}`: bigint" for name in measures), "row: bigint"])
     names = [*carried, *measures, "row"]
 
+    columns = ["shard", "span", "rows", "starts", "terms", "counts", "words"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 33
-        places, held, rows, size = _Places(), [], [], 0
+        number = span = seen = TaskContext.get().partitionId() << 33
+        places, held, size = _Places(), [], 0
         known: list[pa.StructArray] = []
 
+        def row(cells: list) -> pa.RecordBatch:
+            kinds = [pa.int64(), pa.int64(), pa.list_(known_type), *[pa.binary()] * 3, pa.list_(pa.binary())]
+            return pa.RecordBatch.from_arrays([pa.array([cell], kind) if not isinstance(cell, pa.Array) else cell for cell, kind in zip(cells, kinds, strict=True)], columns)
+
         def flush() -> pa.RecordBatch:
-            nonlocal number, places, held, rows, size, known
-            lengths = np.array([len(places_of) for places_of, _ in held], dtype=np.int64)
-            starts = np.append(0, np.cumsum(lengths)).astype("<i8")
-            terms, counts = (np.concatenate([part[k] for part in held]).astype("<u4") for k in (0, 1))
+            nonlocal number, held, size, known
+            lengths = np.array([len(own) for own, _ in held], dtype=np.int64)
+            starts = np.append(0, np.cumsum(lengths)).astype("<i8").tobytes()
+            terms, counts = (np.concatenate([part[k] for part in held]).astype("<u4").tobytes() for k in (0, 1))
             entries = pa.concat_arrays(known)
-            columns = [
-                pa.array([number], pa.int64()),
-                pa.ListArray.from_arrays(pa.array([0, len(entries)], pa.int32()), entries),
-                *[pa.array([values.tobytes()], pa.binary()) for values in (starts, terms, counts)],
-                pa.ListArray.from_arrays(pa.array([0, len(places)], pa.int32()), pa.array(list(places), pa.binary())),
-            ]
-            number += 1
-            places, held, rows, size, known = _Places(), [], [], 0, []
-            return pa.RecordBatch.from_arrays(columns, ["shard", "rows", "starts", "terms", "counts", "words"])
-
-        seen = number
+            listed = pa.ListArray.from_arrays(pa.array([0, len(entries)], pa.int32()), entries)
+            held, size, known, number = [], 0, [], number + 1
+            return row([number - 1, span, listed, starts, terms, counts, None])
+
+        def close() -> pa.RecordBatch:
+            nonlocal span, places
+            words = pa.ListArray.from_arrays(pa.array([0, len(places)], pa.int32()), pa.array(list(places), pa.binary()))
+            places, span = _Places(), span + 1
+            return row([None, span - 1, None, None, None, None, words])
+
         for whole in batches:
             for batch in (whole.slice(at, 500) for at in range(0, whole.num_rows, 500)):
                 texts = as_bytes(batch.column(0))
@@ -95,29 +100,35 @@ def term_matrix(
                     own = np.fromiter(map(places.__getitem__, found), dtype="<u4", count=len(found))
                     held.append((own, np.fromiter(found.values(), dtype="<u4", count=len(found))))
                     size += len(text)
-                    if size >= shard_bytes or len(places) >= shard_terms or at + 1 == len(texts):
+                    full = len(places) >= span_terms
+                    if size >= shard_bytes or full or at + 1 == len(texts):
                         part = batch.slice(begin, at + 1 - begin)
                         measured = [pa.array([f(t) for t in texts[begin : at + 1]], pa.int64()) for f in measures.values()]
                         order = pa.array(range(seen, seen + part.num_rows), pa.int64())
                         seen += part.num_rows
                         known.append(pa.StructArray.from_arrays([*part.columns[1:], *measured, order], names))
+                        known_type = known[-1].type
                         begin = at + 1
-                        if size >= shard_bytes or len(places) >= shard_terms:
+                        if size >= shard_bytes or full:
                             yield flush()
+                        if full:
+                            yield close()
         if held:
             yield flush()
+        if places:
+            yield close()
 
-    schema = f"shard bigint, rows array<struct<{inner}>>, starts binary, terms binary, counts binary, words array<binary>"
+    schema = f"shard bigint, span bigint, rows array<struct<{inner}>>, starts binary, terms binary, counts binary, words array<binary>"
     local = staged(docs.select(text_column, *carried).mapInArrow(run, schema), "term-shards")
-    words = local.select("shard", F.posexplode("words").alias("place", "term"))
+    words = local.where("shard IS NULL").select("span", F.posexplode("words").alias("place", "term"))
     dictionary, terms = _dictionary(words)
     codes = (
         words.join(dictionary, "term")
-        .groupBy("shard")
+        .groupBy("span")
         .agg(F.array_sort(F.collect_list(F.struct("place", "code"))).alias("found"))
-        .select("shard", F.transform("found", lambda entry: entry["code"]).alias("codes"))
+        .select("span", F.transform("found", lambda entry: entry["code"]).alias("codes"))
     )
-    joined = local.drop("words").join(codes, "shard", "left").select("shard", "rows", "starts", "terms", "counts", "codes")
+    joined = local.where("shard IS NOT NULL").drop("words").join(codes, "span", "left").select("shard", "rows", "starts", "terms", "counts", "codes")
 
     def globally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -125,10 +136,11 @@ def term_matrix(
                 if batch.column(5).is_valid()[0].as_py():
                     own = np.frombuffer(batch.column(3)[0].as_py(), dtype="<u4")
                     coded = batch.column(5).flatten().to_numpy()[own].astype("<i8").tobytes()
-                else:  # no document of the shard has a word
+                else:  # no document of the span has a word
                     coded = b""
-                columns = [*batch.columns[:3], pa.array([coded], pa.binary()), batch.column(4)]
-                yield pa.RecordBatch.from_arrays(columns, ["shard", "rows", "starts", "terms", "counts"])
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:3], pa.array([coded], pa.binary()), batch.column(4)], ["shard", "rows", "starts", "terms", "counts"]
+                )
 
     shards = joined.mapInArrow(globally, f"shard bigint, rows array<struct<{inner}>>, starts binary, terms binary, counts binary")
     return TermMatrix(shards, dictionary, terms)

@@ -71,7 +71,7 @@ def test_clashing_columns_and_empty_tables(spark):
 
 def test_matrix_holds_the_counts_of_the_words(spark):
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "k bigint, text string").repartition(2)
-    matrix = term_matrix(docs, "text", {"size": len}, shard_bytes=8, shard_terms=4)
+    matrix = term_matrix(docs, "text", {"size": len}, shard_bytes=8, span_terms=4)
     term = {row.code: bytes(row.term) for row in matrix.dictionary.collect()}
     assert sorted(term) == list(range(matrix.terms)) and len(set(term.values())) == matrix.terms
     found, shards = {}, matrix.shards.collect()
