@@ -192,7 +192,9 @@ def _filled(counts: DataFrame, sources: DataFrame) -> DataFrame:
     got = sources.where("quota > 0").join(given, "sid", "left").withColumn("drawn", F.coalesce("drawn", none))
     over, under = F.greatest(F.col("drawn") - F.col("quota"), none), F.greatest(F.col("quota") - F.col("drawn"), none)
     got = staged(running(got.withColumn("under", under), ["sid"], {"drawn_before": F.col("drawn"), "over_before": over, "under_before": under}), "quotas")
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # explicit: these few rows become all slots
     numbered = running(counts, ["sid", "shard"], {"first": F.col("n")}).join(got, "sid").withColumn("first", F.col("first") - F.col("drawn_before"))
+    numbered = numbered.repartition(tasks, "shard", "sid")
     every = numbered.select("shard", *kept, "over_before", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("slot"))
     own = every.where("slot < quota").select("shard", *kept, "slot")
     moved = every.where("slot >= quota").select("shard", (F.col("over_before") + F.col("slot") - F.col("quota")).alias("number"))
