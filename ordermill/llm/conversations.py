@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm.edit_costs import GOES, NEXT, PUT, START, EditCosts, row_code
-from ordermill.llm.shared import with_first
+from ordermill.llm.shared import lean, with_first
 
 _BLANKS = " \t\n\x0b\x0c\r"
 _LEGAL = frozenset(("su", "ua", "au"))
@@ -91,12 +91,12 @@ def structure(
         .sortWithinPartitions(*_ORDER)
         .select("conv", "turn", F.substring("role", 1, 1).alias("initial"), "blank", "later", "truncated", "n")
         .mapInArrow(
-            _blocks,
+            lean(_blocks),
             f"conv {kind}, part bigint, number bigint, codes binary, blank bigint, duplicate bigint, truncated bigint, illegal bigint,"
             " first string, last string, first_turn bigint, last_turn bigint, turns bigint",
         )
     )
-    found = blocks.repartition("conv").sortWithinPartitions("conv", "part", "number").mapInArrow(_audits, _audit_schema("conv", kind))
+    found = blocks.repartition("conv").sortWithinPartitions("conv", "part", "number").mapInArrow(lean(_audits), _audit_schema("conv", kind))
     return found.withColumnRenamed("conv", conversation)
 
 
@@ -209,7 +209,7 @@ def _edited(rows: DataFrame, audits: DataFrame, columns: tuple[str, str, str, st
     )
     heads = audits.select(F.col(columns[0]).alias("conv"), F.lit(0).alias("kind"), *_COUNTS, "audit")
     both = heads.unionByName(texts, allowMissingColumns=True).repartition("conv").sortWithinPartitions("conv", "kind", *_ORDER[1:])
-    return both.select("conv", "kind", "role", "text", *_COUNTS, "audit").mapInArrow(finish, schema)
+    return both.select("conv", "kind", "role", "text", *_COUNTS, "audit").mapInArrow(lean(finish), schema)
 
 
 class _Editor:

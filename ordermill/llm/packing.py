@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from ordermill.llm.shared import as_bytes
+from ordermill.llm.shared import as_bytes, lean
 from ordermill.llm.tokens import shared_encoder
 
 Piece = tuple[int, int, int]  # document, start, length
@@ -169,4 +169,4 @@ def pack(
     schema = (
         f"`{id_column}` {id_type}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
     )
-    return docs.select(id_column, text_column).mapInArrow(run, schema)
+    return docs.select(id_column, text_column).mapInArrow(lean(run, encodes=True), schema)

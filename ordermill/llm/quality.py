@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm.boosting import BoostedTrees, fit
-from ordermill.llm.shared import as_bytes
+from ordermill.llm.shared import as_bytes, lean
 
 #: Bytes counted one by one; the other features follow in `statistics`.
 SIGNS = b"|!?.,;:*&%$#@()[]{}<>/\\\"'-_=+~^`0123456789"
@@ -95,7 +95,7 @@ def train(
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.binary())], ["_id", "label", "features"])
 
     id_type = docs.schema[id_column].dataType.simpleString()
-    found = chosen.mapInArrow(run, f"_id {id_type}, label double, features binary")
+    found = chosen.mapInArrow(lean(run), f"_id {id_type}, label double, features binary")
     got = found.orderBy("_id", "features").limit(sample).toArrow()
     values = np.frombuffer(b"".join(got.column("features").to_pylist()), dtype=np.float64).reshape(-1, N_FEATURES)
     return fit(values, got.column("label").to_numpy())
@@ -113,4 +113,4 @@ def scored(docs: DataFrame, model: BoostedTrees, text_column: str = "text", scor
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.probability(values))], names)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{fields}, `{score}` double")
+    return docs.mapInArrow(lean(run), f"{fields}, `{score}` double")

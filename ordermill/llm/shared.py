@@ -1,7 +1,11 @@
-"""Small helpers of the operators: staged tables and Arrow columns."""
+"""Small helpers of the operators: staged tables, Arrow columns, first rows of groups, memory of tasks."""
 
 from __future__ import annotations
 
+import ctypes
+import sys
+from collections.abc import Callable, Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -9,10 +13,10 @@ from pyspark.sql import functions as F
 from ordermill.session import new_folder
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """`df` written as Parquet in the shared folder and read back: its lineage ends there."""
     folder = f"{new_folder(df.sparkSession, name)}/table"
-    df.write.parquet(folder)
+    df.write.parquet(folder, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
@@ -39,3 +43,25 @@ def with_first(rows: DataFrame, key: str, value: str, salt: Column, name: str, s
 
 
 _SALT, _ROWS = "__first_salt", "__first_rows"
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], encodes: bool = False) -> Callable:
+    """A task's function that gives its memory back to the machine when it ends.
+
+    Python workers outlive their tasks, and allocators keep what was freed; several workers stand beside each executor's heap. The token ids that a
+    worker remembers (`tokens.shared_encoder`) stay only until its next task that does not encode.
+    """
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = sys.modules.get("ordermill.llm.tokens")
+        if tokens and not encodes:
+            tokens.shared_encoder.cache_clear()
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return wrapped

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ordermill.llm.bitslice import forest_within, pairs_within
 from ordermill.llm.components import connected_components
-from ordermill.llm.shared import as_bytes, staged
+from ordermill.llm.shared import as_bytes, lean, staged
 
 _ID, _KEY = "__near_id", "__near_key"
 
@@ -56,7 +56,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_column: str = "doc_id", t
             values = np.array(found, dtype="<u8").view("<i8")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], [id_column, "fp"])
 
-    return docs.select(id_column, text_column).mapInArrow(run, f"`{id_column}` {id_type}, fp bigint")
+    return docs.select(id_column, text_column).mapInArrow(lean(run), f"`{id_column}` {id_type}, fp bigint")
 
 
 def block_masks(radius: int, spare: int = 1) -> list[int]:
@@ -134,7 +134,7 @@ def near_links(cells: DataFrame, node: str, radius: int, chunk: int = 4096) -> D
         for table in _whole_cells(batches):
             yield links(table.column(0).to_numpy(), table.column(1).combine_chunks(), table.column(2).to_numpy())
 
-    return dealt.mapInArrow(run, f"a {node_type}, b {node_type}, distance bigint")
+    return dealt.mapInArrow(lean(run), f"a {node_type}, b {node_type}, distance bigint")
 
 
 def simhash_components(
@@ -209,7 +209,7 @@ def _sketches(rows: DataFrame, shingle: int, multipliers: np.ndarray) -> DataFra
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*names, "words", "fp", "bands"])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(run, f"{kept}, words string, fp bigint, bands array<bigint>")
+    return rows.mapInArrow(lean(run), f"{kept}, words string, fp bigint, bands array<bigint>")
 
 
 def _word_digest(text: bytes) -> str:
@@ -227,7 +227,7 @@ def _shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
                 [pa.array([_word_digest(text) for text in texts]), pa.array(sets, pa.binary())], ["words", "shingles"]
             )
 
-    return texts.mapInArrow(run, "words string, shingles binary").dropDuplicates(["words"])
+    return texts.mapInArrow(lean(run), "words string, shingles binary").dropDuplicates(["words"])
 
 
 def _similar(pairs: DataFrame, similarity: float) -> DataFrame:
@@ -242,7 +242,7 @@ def _similar(pairs: DataFrame, similarity: float) -> DataFrame:
                 keep.append(both >= similarity * either)
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.select("a", "b", "left", "right").mapInArrow(run, "a string, b string")
+    return pairs.select("a", "b", "left", "right").mapInArrow(lean(run), "a string, b string")
 
 
 def _joined(
@@ -318,7 +318,7 @@ def _missed_links(cells: DataFrame, sets: DataFrame, radius: int, similarity: fl
             ends = [root.take(pa.array([link[k] for link in links], pa.int64())) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
 
-    return dealt.mapInArrow(run, "a string, b string")
+    return dealt.mapInArrow(lean(run), "a string, b string")
 
 
 def drop_near_duplicates(

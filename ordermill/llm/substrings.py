@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ordermill.llm.fm_index import FMIndex
-from ordermill.llm.shared import as_bytes
+from ordermill.llm.shared import as_bytes, lean
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(31))
 
@@ -89,7 +89,7 @@ def _asked_anchors(docs: DataFrame, window: int, gram: int, crowd: int) -> DataF
         if held:
             yield flush()
 
-    return docs.mapInArrow(run, "anchor bigint, ids array<bigint>, docs bigint, crowded boolean")
+    return docs.mapInArrow(lean(run), "anchor bigint, ids array<bigint>, docs bigint, crowded boolean")
 
 
 def _shared_anchors(asked: DataFrame, crowd: int) -> DataFrame:
@@ -117,13 +117,15 @@ def _passages(docs: DataFrame, window: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
+        held = 0
 
         def flush() -> pa.RecordBatch:
             first: dict[tuple, int] = {}
             for row in rows:
                 first[row[:2]] = min(first.get(row[:2], row[2]), row[2])
-            sent = [row if first[row[:2]] == row[2] else (*row[:6], None) for row in rows]
-            columns = zip(*sent, strict=True)
+            later = [first[row[:2]] != row[2] for row in rows]
+            columns = list(zip(*rows, strict=True))
+            columns[6] = [None if late else words for late, words in zip(later, columns[6], strict=True)]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
         for batch in batches:
@@ -145,13 +147,14 @@ def _passages(docs: DataFrame, window: int, gram: int) -> DataFrame:
                     digest = xxhash.xxh3_128_digest(passage)
                     anchor = int.from_bytes(digest[:8], signed=True) if single[start] else int(anchors[start])
                     rows.append((anchor, digest, ids[at], keys[at], start, end - start + window - 1, passage))
-                if len(rows) > 100_000:
+                    held += len(passage)
+                if len(rows) > 50_000 or held > 8_000_000:
                     yield flush()
-                    rows = []
+                    rows, held = [], 0
         if rows:
             yield flush()
 
-    return docs.mapInArrow(run, "anchor bigint, content binary, id bigint, row bigint, position int, n_words int, words binary")
+    return docs.mapInArrow(lean(run), "anchor bigint, content binary, id bigint, row bigint, position int, n_words int, words binary")
 
 
 def earlier_windows(passages: list[bytes], firsts: np.ndarray, window: int) -> list[list[tuple[int, int]]]:
@@ -242,13 +245,14 @@ def _searched(passages: DataFrame, window: int) -> DataFrame:
                 if cut:
                     yield shard(table.slice(0, cut))
                 held = table.slice(cut).to_batches()
-                rows, size = table.num_rows - cut, size if not cut else 0
+                rows = table.num_rows - cut
+                size = sum(pc.sum(pc.binary_length(batch.column(6))).as_py() or 0 for batch in held)
         if rows:
             yield shard(pa.Table.from_batches(held))
 
     place = F.when(F.col("words").isNull(), F.xxhash64("id", "position")).otherwise(F.col("anchor"))
     dealt = passages.withColumn("place", place).repartition("place").drop("place").sortWithinPartitions("anchor", "content")
-    return dealt.mapInArrow(run, "id bigint, row bigint, start int, end int")
+    return dealt.mapInArrow(lean(run), "id bigint, row bigint, start int, end int")
 
 
 def without_repeats(
@@ -343,7 +347,7 @@ def _cut(joined: DataFrame, docs: DataFrame, text_column: str, window: int) -> D
             yield pa.RecordBatch.from_arrays([*batch.columns[:end], *columns], names)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return joined.mapInArrow(run, f"{fields}, kept binary, n_words bigint, n_removed bigint")
+    return joined.mapInArrow(lean(run), f"{fields}, kept binary, n_words bigint, n_removed bigint")
 
 
 _ID, _NONE, _ROW, _DIGEST, _COPY, _SPANS = (f"__repeat_{name}" for name in ("id", "none", "row", "digest", "copy", "spans"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.llm.perfect_hash import PerfectHash, mixed
-from ordermill.llm.shared import as_bytes, staged
+from ordermill.llm.shared import as_bytes, lean, staged
 from ordermill.llm.tokens import shared_encoder
 from ordermill.session import new_folder
 
@@ -153,7 +153,7 @@ def write(
             yield flush()
 
     schema = "task bigint, number bigint, path string, first_key bigint, last_key bigint, records bigint, ids bigint"
-    written = staged(rows.mapInArrow(run, schema), "token-files").orderBy("task", "number").collect()
+    written = staged(rows.mapInArrow(lean(run, encodes=True), schema), "token-files").orderBy("task", "number").collect()
     before, listed = 0, []
     for row in written:
         listed.append((row.path, row.first_key, row.last_key, row.records, row.ids, before))
@@ -209,7 +209,7 @@ def read(files: TokenFiles) -> DataFrame:
                 yield _batch(rows)
 
     listed = files.manifest.select("path", "before")
-    return listed.repartition(F.col("path")).mapInArrow(run, _READ)
+    return listed.repartition(F.col("path")).mapInArrow(lean(run, encodes=True), _READ)
 
 
 def lookup(files: TokenFiles, keys: DataFrame, key_column: str = "doc_id") -> DataFrame:
@@ -243,5 +243,5 @@ def lookup(files: TokenFiles, keys: DataFrame, key_column: str = "doc_id") -> Da
                     held = (one, _opened(paths[one][0]))
                 yield _batch(list(_read(held[1], key[number == one], paths[one][1])))
 
-    sent = wanted.mapInArrow(send, "number bigint, key bigint").repartition("number").sortWithinPartitions("number", "key")
-    return sent.mapInArrow(fetch, _READ)
+    sent = wanted.mapInArrow(lean(send), "number bigint, key bigint").repartition("number").sortWithinPartitions("number", "key")
+    return sent.mapInArrow(lean(fetch), _READ)
