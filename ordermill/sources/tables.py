@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.session import new_folder
+from ordermill.sources.expectations import Expectation, measures
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -16,15 +17,15 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_parquet(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite", expect: Sequence[Expectation] = ()
 ) -> dict[str, int]:
-    """Write a table and return its audit: rows written, and NULLs per column.
+    """Write a table and return its audit: rows written, NULLs per column, and rows that fail each expectation (`fails_<name>`).
 
     The counts are taken while the rows pass to the writer, so the write is the only job.
     With `partition_by`, an overwrite replaces only the partitions that `df` has rows for.
     """
     audit = Observation(f"write-{uuid.uuid4().hex}")
-    writer = df.observe(audit, F.count(F.lit(1)).alias("rows"), *_null_counts(df)).write.mode(mode)
+    writer = df.observe(audit, F.count(F.lit(1)).alias("rows"), *_null_counts(df), *measures(expect)).write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
@@ -73,7 +74,8 @@ def register_views(tables: Mapping[str, DataFrame], prefix: str) -> list[str]:
 def register_external(spark: SparkSession, paths: Mapping[str, str], prefix: str) -> list[str]:
     """Catalog tables `<prefix>_<layer>_<name>` over written Parquet folders, which outlive the session with the catalog.
 
-    They own no files: dropping or replacing one leaves the data alone.
+    They own no files: dropping or replacing one leaves the data alone. They stay at these folders: for names that follow
+    the daily run use `refresh.point_names`.
     """
     names = []
     for key, path in paths.items():
