@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -74,9 +75,9 @@ class Shard:
         record[known] = self.slots[place[known]]
         return record
 
-    def copies(self, record: int) -> int:
-        """How many records in a row have the key of this one."""
-        return int(np.searchsorted(self.keys[self.missing :], self.keys[record], side="right")) + self.missing - record
+    def copies(self, records: np.ndarray) -> np.ndarray:
+        """How many records in a row have the key of each of these, the first of their keys."""
+        return np.searchsorted(self.keys[self.missing :], self.keys[records], side="right") + self.missing - records
 
     def ids(self, record: int, count: int = 1) -> np.ndarray:
         start, end = int(self.starts[record]), int(self.starts[record + count])
@@ -86,9 +87,10 @@ class Shard:
 
 @dataclass(frozen=True)
 class TokenFiles:
-    """Written files, one row each, in the order of the keys: path, first and last key, records, ids, ids of all files before."""
+    """Written files, one row each, in the order of the keys: path, first and last key, records, ids, ids of all files before; and their number."""
 
     manifest: DataFrame
+    files: int
 
 
 def write(
@@ -159,7 +161,7 @@ def write(
         listed.append((row.path, row.first_key, row.last_key, row.records, row.ids, before))
         before += row.ids
     kinds = "path string, first_key bigint, last_key bigint, records bigint, ids bigint, before bigint"
-    return TokenFiles(spark.createDataFrame(listed, kinds))
+    return TokenFiles(spark.createDataFrame(listed, kinds), len(listed))
 
 
 def _opened(path: str) -> Shard:
@@ -177,39 +179,49 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
-def _read(shard: Shard, keys: np.ndarray, before: int) -> Iterator[tuple]:
-    """Rows for these keys, found through the index; the records of one key are read together."""
-    for first in shard.find(keys):
-        if first >= 0:
-            count = shard.copies(first)
-            ids, starts = shard.ids(first, count), shard.starts[first : first + count + 1].astype(np.int64)
-            for record in range(count):
-                part = ids[starts[record] - starts[0] : starts[record + 1] - starts[0]]
-                yield int(shard.keys[first]), before + int(starts[record]), len(part), part.tobytes()
+def _records(shard: Shard, begin: int, end: int, before: int, most: int) -> Iterator[tuple]:
+    """Rows for the records from `begin` to `end`, read in runs of up to `most` ids (or one record)."""
+    while begin < end:
+        stop = int(np.searchsorted(shard.starts, shard.starts[begin] + np.uint64(most), side="right")) - 1
+        stop = min(max(stop, begin + 1), end)
+        ids, starts = shard.ids(begin, stop - begin), shard.starts[begin : stop + 1].astype(np.int64).tolist()
+        keys = shard.keys[begin:stop].tolist()
+        for at, record in enumerate(range(begin, stop)):
+            part = ids[starts[at] - starts[0] : starts[at + 1] - starts[0]]
+            yield None if record < shard.missing else keys[at], before + starts[at], len(part), part.tobytes()
+        begin = stop
+
+
+def _read(shard: Shard, keys: np.ndarray, before: int, most: int = 1_000_000) -> Iterator[tuple]:
+    """Rows for these keys, found through the index; records that stand together are read together."""
+    first = shard.find(keys)
+    first = np.sort(first[first >= 0])
+    ends = first + shard.copies(first)
+    apart = np.flatnonzero(first[1:] != ends[:-1]) + 1
+    for run in np.split(np.arange(len(first)), apart):
+        if len(run):
+            yield from _records(shard, int(first[run[0]]), int(ends[run[-1]]), before, most)
 
 
 def read(files: TokenFiles) -> DataFrame:
-    """(key, start, n_tokens, ids) of every record of every file; each key is looked up in its file's index."""
+    """(key, start, n_tokens, ids) of every record of every file; each key is looked up in its file's index. A task reads one file."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, before in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 shard = _opened(path)
-                rows = []
-                for record in range(shard.missing):
-                    ids = shard.ids(record)
-                    rows.append((None, before + int(shard.starts[record]), len(ids), ids.tobytes()))
-                held = 0
-                for row in _read(shard, np.unique(shard.keys[shard.missing :]), before):
+                rows, held = [], 0
+                missing = _records(shard, 0, shard.missing, before, 1_000_000)
+                for row in chain(missing, _read(shard, np.unique(shard.keys[shard.missing :]), before)):
                     rows.append(row)
                     held += row[2]
-                    if held > 2_000_000:
+                    if held > 1_000_000:
                         yield _batch(rows)
                         rows, held = [], 0
                 yield _batch(rows)
 
-    listed = files.manifest.select("path", "before")
-    return listed.repartition(F.col("path")).mapInArrow(lean(run, encodes=True), _READ)
+    listed = files.manifest.select("path", "before").repartition(max(1, files.files))  # explicit: not merged for their few bytes
+    return listed.mapInArrow(lean(run), _READ)
 
 
 def lookup(files: TokenFiles, keys: DataFrame, key_column: str = "doc_id") -> DataFrame:
@@ -243,5 +255,5 @@ def lookup(files: TokenFiles, keys: DataFrame, key_column: str = "doc_id") -> Da
                     held = (one, _opened(paths[one][0]))
                 yield _batch(list(_read(held[1], key[number == one], paths[one][1])))
 
-    sent = wanted.mapInArrow(lean(send), "number bigint, key bigint").repartition("number").sortWithinPartitions("number", "key")
+    sent = wanted.mapInArrow(lean(send), "number bigint, key bigint").repartition(files.files, "number").sortWithinPartitions("number", "key")
     return sent.mapInArrow(lean(fetch), _READ)

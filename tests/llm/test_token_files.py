@@ -40,7 +40,10 @@ def test_a_file_gives_back_its_records(width):
     shard = token_files.Shard(InMemory(token_files.encode_shard(keys, records, width)))
     first = shard.find(np.array([-20, 0, 8, 9, 12345], dtype=np.int64)).tolist()
     assert first == [2, 42, 58, -1, -1]
-    assert [shard.copies(f) for f in first[:3]] == [2, 2, 2]
+    assert shard.copies(np.array(first[:3])).tolist() == [2, 2, 2]
+    for most in (1, 5, 10**6):
+        whole = list(token_files._records(shard, 0, len(records), 0, most))
+        assert [row[3] for row in whole] == records and [row[0] for row in whole] == keys
     assert all(shard.ids(at).tobytes() == record for at, record in enumerate(records))
     empty = token_files.Shard(InMemory(token_files.encode_shard([], [], width)))
     assert empty.find(np.array([1])).tolist() == [-1]
@@ -76,6 +79,16 @@ def test_odd_rows_and_access_by_key(spark):
     assert token_files.read(nothing).count() == 0 and token_files.lookup(nothing, keys).count() == 0
 
 
+def test_files_are_read_by_as_many_tasks(spark):
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat('word ', id) AS text")
+    files = token_files.write(docs, tokenizer(), shard_ids=50)
+    assert files.files > 8 and spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    for df in (token_files.read(files), token_files.lookup(files, docs.select("doc_id"))):
+        tasks = {row.task for row in df.selectExpr("spark_partition_id() AS task").collect()}
+        assert len(tasks) >= 8
+    assert token_files.read(files).count() == 400
+
+
 def test_other_files_are_refused():
     with pytest.raises(ValueError, match="token file"):
         token_files.Shard(InMemory(b"x" * 100))
