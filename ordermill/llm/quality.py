@@ -102,7 +102,12 @@ def train(
 
 
 def scored(docs: DataFrame, model: BoostedTrees, text_column: str = "text", score: str = "score") -> DataFrame:
-    """`docs` with the model's probability of label 1 as one more column; null and empty texts are scored by their (empty) statistics."""
+    """`docs` with the model's probability of label 1 as one more column; null and empty texts are scored by their (empty) statistics.
+
+    A column of the input with that name is a ValueError.
+    """
+    if score in docs.columns:
+        raise ValueError(f"the input already has {score}")
     at, names = docs.columns.index(text_column), [*docs.columns, score]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -256,9 +256,15 @@ def _searched(passages: DataFrame, window: int) -> DataFrame:
 
 
 def without_repeats(
-    docs: DataFrame, window: int = 13, gram: int = 6, crowd: int = 4096, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    window: int = 13,
+    gram: int = 6,
+    crowd: int = 4096,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    names: tuple[str, str, str] = ("kept", "n_words", "n_removed"),
 ) -> DataFrame:
-    """`docs` with three columns more: kept (the words left, joined by one space; binary), n_words, n_removed.
+    """`docs` with three columns more, by default kept (the words left, joined by one space; binary), n_words, n_removed.
 
     A word goes if a window of `window` consecutive words covers it that also starts in a document with a smaller id; words
     are split by ASCII white space and windows are judged on the input. Copies of a whole text need no search. Of the rest, windows meet by their anchors: only
@@ -270,7 +276,10 @@ def without_repeats(
 
     Every row stays. Null and empty texts have no windows. A null id is neither smaller nor larger than another: its text
     stays whole and removes nothing. Rows that share an id are one document to each other. Ids are whole numbers. An empty table stays empty.
+    Other columns stay, whatever their names, but for `__repeat_...`; a column with one of the new names is a ValueError.
     """
+    if clash := set(names) & set(docs.columns):
+        raise ValueError(f"the input already has {sorted(clash)}")
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = docs.withColumns(
         {
@@ -283,11 +292,11 @@ def without_repeats(
 
     def found(table: DataFrame) -> DataFrame:
         """Joined by id, the row key only compared: so each join shuffles the texts alike, and Spark does it once."""
-        other = table.withColumnsRenamed({"id": "_id", "row": "_row"})
-        same = F.col(_ID) == F.col("_id")
-        if "row" in table.columns:
-            same &= F.col(_ROW).bitwiseXOR(F.col("_row")) == 0
-        return rows.join(other, same, "left").drop("_id", "_row")
+        other = table.withColumnsRenamed({"id": _OTHER_ID, "row": _OTHER_ROW, "anchors": _ANCHORS, "crowds": _CROWDS})
+        same = F.col(_ID) == F.col(_OTHER_ID)
+        if _OTHER_ROW in other.columns:
+            same &= F.col(_ROW).bitwiseXOR(F.col(_OTHER_ROW)) == 0
+        return rows.join(other, same, "left").drop(_OTHER_ID, _OTHER_ROW)
 
     digests = rows.where(~F.col(_NONE)).select(F.col(_ID).alias("id"), F.col(_ROW).alias("row"), _DIGEST)
     salted = digests.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(64)))  # so a text of very many copies is no single key
@@ -303,14 +312,14 @@ def without_repeats(
     )
     fresh = found(copies).where(F.col(_COPY).isNull())
     shared = _shared_anchors(_asked_anchors(_ordered(fresh, text_column), window, gram, crowd), crowd)
-    met = found(shared).where(F.col("anchors").isNotNull())
+    met = found(shared).where(F.col(_ANCHORS).isNotNull())
     spans = (
-        _searched(_passages(_ordered(met, text_column, "anchors", "crowds"), window, gram), window)
+        _searched(_passages(_ordered(met, text_column, _ANCHORS, _CROWDS), window, gram), window)
         .groupBy("id", "row")
         .agg(F.collect_set(F.struct("start", "end")).alias(_SPANS))
     )
     flags = copies.unionByName(spans, allowMissingColumns=True).groupBy("id", "row").agg(F.max(_COPY).alias(_COPY), F.first(_SPANS, True).alias(_SPANS))
-    return _cut(found(flags).select(*docs.columns, _NONE, _COPY, _SPANS, _ID, _ROW, _DIGEST), docs, text_column, window)
+    return _cut(found(flags).select(*docs.columns, _NONE, _COPY, _SPANS, _ID, _ROW, _DIGEST), docs, text_column, window, names)
 
 
 def _ordered(rows: DataFrame, text_column: str, *more: str) -> DataFrame:
@@ -319,9 +328,9 @@ def _ordered(rows: DataFrame, text_column: str, *more: str) -> DataFrame:
     return rows.select(*first, *[name for name in rows.columns if name not in first])
 
 
-def _cut(joined: DataFrame, docs: DataFrame, text_column: str, window: int) -> DataFrame:
+def _cut(joined: DataFrame, docs: DataFrame, text_column: str, window: int, new: tuple[str, str, str]) -> DataFrame:
     text_at, end = docs.columns.index(text_column), len(docs.columns)
-    names = [*docs.columns, "kept", "n_words", "n_removed"]
+    names = [*docs.columns, *new]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -347,10 +356,12 @@ def _cut(joined: DataFrame, docs: DataFrame, text_column: str, window: int) -> D
             yield pa.RecordBatch.from_arrays([*batch.columns[:end], *columns], names)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return joined.mapInArrow(lean(run), f"{fields}, kept binary, n_words bigint, n_removed bigint")
+    return joined.mapInArrow(lean(run), f"{fields}, `{new[0]}` binary, `{new[1]}` bigint, `{new[2]}` bigint")
 
 
-_ID, _NONE, _ROW, _DIGEST, _COPY, _SPANS = (f"__repeat_{name}" for name in ("id", "none", "row", "digest", "copy", "spans"))
+_ID, _NONE, _ROW, _DIGEST, _COPY, _SPANS, _ANCHORS, _CROWDS, _OTHER_ID, _OTHER_ROW = (
+    f"__repeat_{name}" for name in ("id", "none", "row", "digest", "copy", "spans", "anchors", "crowds", "other_id", "other_row")
+)
 
 
 def drop_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length_column: str = "n_chars", **options: int) -> DataFrame:
@@ -359,12 +370,13 @@ def drop_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     A text that loses words becomes the words left, joined by one space, and its length column, if there is one, follows; other
     texts keep their white space.
     """
-    found = without_repeats(docs, id_column=id_column, text_column=text_column, **options)
-    cut = F.col("n_removed") > 0
-    text = F.when(cut, F.decode("kept", "UTF-8")).otherwise(F.col(text_column))
+    kept, words, removed = (f"__left_{name}" for name in ("kept", "words", "removed"))
+    found = without_repeats(docs, id_column=id_column, text_column=text_column, names=(kept, words, removed), **options)
+    cut = F.col(removed) > 0
+    text = F.when(cut, F.decode(kept, "UTF-8")).otherwise(F.col(text_column))
     changed = {text_column: text}
     if length_column in docs.columns:
         kind = docs.schema[length_column].dataType
-        left = F.length(F.decode("kept", "UTF-8")).cast(kind)
+        left = F.length(F.decode(kept, "UTF-8")).cast(kind)
         changed[length_column] = F.when(cut, left).otherwise(F.col(length_column))
     return found.withColumns(changed).select(docs.columns)

@@ -75,6 +75,10 @@ def page_links(pages: DataFrame, url_column: str = "url", html_column: str = "ht
     )
 
 
+#: Names that no column of pages has.
+_ALIAS, _NODE, _URL, _OWN = (f"__judge_{name}" for name in ("alias", "node", "url", "own"))
+
+
 def judge(
     pages: DataFrame, links: DataFrame, rules: Sequence[Rule], url_column: str = "url", default: str = "allow"
 ) -> DataFrame:
@@ -85,7 +89,8 @@ def judge(
     else the default. Components are found by distributed rounds of joins; nothing is gathered.
 
     A null url and one without :// have empty host and path, no rule and no aliases. Null ends and loops of links say nothing.
-    Repeated rows each get their verdict; the new columns replace such of the same names.
+    Repeated rows each get their verdict; the new columns replace such of the same names. Other columns stay, whatever their names, but
+    for `__judge_...`.
     """
     url = F.col(url_column)
     ends = links.select(F.explode(F.array("source", "target")).alias("url")).select(
@@ -98,18 +103,18 @@ def judge(
     verdicts = (
         members.join(decided, "node")
         .groupBy("root")
-        .agg(F.min("verdict").alias("alias_verdict"))  # allow comes before block
+        .agg(F.min("verdict").alias(_ALIAS))  # allow comes before block
         .join(members, "root")
-        .select(F.col("node").alias("_node"), "alias_verdict")
+        .select(F.col("node").alias(_NODE), _ALIAS)
     )
     kept = [name for name in pages.columns if name not in ("host", "path", "rule", "verdict")]
-    own = F.struct(host_of(url).alias("host"), path_of(url).alias("path")).alias("_url")
-    rows = pages.select(*kept, own, node_of(url).alias("_own_node"))
-    rule = rule_of(F.col("_url.host"), F.col("_url.path"), rules)
-    return rows.join(verdicts, F.col("_own_node") == F.col("_node"), "left").select(
+    own = F.struct(host_of(url).alias("host"), path_of(url).alias("path")).alias(_URL)
+    rows = pages.select(*kept, own, node_of(url).alias(_OWN))
+    rule = rule_of(F.col(_URL)["host"], F.col(_URL)["path"], rules)
+    return rows.join(verdicts, F.col(_OWN) == F.col(_NODE), "left").select(
         *kept,
-        F.col("_url.host").alias("host"),
-        F.col("_url.path").alias("path"),
+        F.col(_URL)["host"].alias("host"),
+        F.col(_URL)["path"].alias("path"),
         rule["name"].alias("rule"),
-        F.coalesce(rule["verdict"], "alias_verdict", F.lit(default)).alias("verdict"),
+        F.coalesce(rule["verdict"], _ALIAS, F.lit(default)).alias("verdict"),
     )

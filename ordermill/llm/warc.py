@@ -73,7 +73,7 @@ def resolve(records: DataFrame, permitted: Sequence[str] = PERMITTED, span_secon
 
     Urls are compared in canonical form. Only ids, keys and times go through the as-of join; headers and payloads join
     once, by record id, where Spark may split a response of very many revisits. Null urls, and such without a host, have no response. Null times
-    count as the earliest. Record ids are unique; if a row is repeated, each copy gets its result once. Other columns are not read; an empty table gives no
+    count as the earliest. Record ids tell the records apart: of rows that repeat one, null included, one counts. Other columns are not read; an empty table gives no
     rows.
     """
     full = (F.col("status") == 200) & F.col("payload").isNotNull()
@@ -91,7 +91,9 @@ def resolve(records: DataFrame, permitted: Sequence[str] = PERMITTED, span_secon
         F.col("record_id").alias("response_id"), normal_headers(F.col("headers")).alias("theirs"), F.col("payload").alias("body")
     )
     linked = revisits.join(links, F.col("record_id") == F.col("revisit"), "left").withColumnRenamed("response", "response_id")
-    joined = linked.join(responses, "response_id", "left")
+    # Revisits without a response, however many, are spread: they find nothing anyway.
+    spread = F.when(F.col("response_id").isNull(), F.pmod(F.xxhash64("record_id"), F.lit(4096))).otherwise(0).cast("bigint")
+    joined = linked.withColumn("part", spread).join(responses.withColumn("part", F.lit(0).cast("bigint")), ["response_id", "part"], "left")
     resolved = F.col("theirs").isNotNull() & validators_agree(F.col("theirs"), F.col("own"))
     over = F.map_filter("own", lambda name, _: name.isin(*permitted))
     merged = F.map_concat(F.map_filter("theirs", lambda name, _: ~F.map_contains_key(over, name)), over)

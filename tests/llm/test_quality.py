@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pytest
 
 from ordermill.llm import quality
 from ordermill.llm.boosting import fit
@@ -80,3 +81,11 @@ def test_odd_rows(spark):
     model = quality.train(docs.limit(0), labels)
     assert {r.score for r in quality.scored(docs, model).collect()} == {0.5}
     assert quality.scored(docs.limit(0), model).count() == 0
+
+
+def test_a_second_score_is_refused(spark):
+    docs = spark.createDataFrame([(1, "a", 3)], "doc_id bigint, text string, score int")
+    model = quality.train(docs, spark.createDataFrame([], "doc_id bigint, quality int, toxic int"))
+    with pytest.raises(ValueError, match="score"):
+        quality.scored(docs, model)
+    assert quality.scored(docs, model, score="other").first().score == 3

@@ -8,7 +8,7 @@ import pytest
 
 from ordermill.llm.fm_index import FMIndex
 from ordermill.llm.registry import op6_substrings
-from ordermill.llm.substrings import earlier_windows, without_repeats
+from ordermill.llm.substrings import drop_repeats, earlier_windows, without_repeats
 
 
 def plainly(rows, window=13):
@@ -75,3 +75,16 @@ def test_odd_rows(spark, crowd):
     found = [(r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.kept).hexdigest()) for r in got.collect()]
     assert sorted(found, key=str) == plainly(rows)
     assert without_repeats(docs.limit(0)).count() == 0
+
+
+def test_columns_of_any_name_stay(spark):
+    names = ["anchors", "crowds", "_id", "_row", "id", "row", "position", "start", "kept", "n_words", "n_removed"]
+    text = " ".join(f"w{i}" for i in range(20))
+    schema = "doc_id bigint, text string, " + ", ".join(f"{name} int" for name in names)
+    docs = spark.createDataFrame([(1, text, *range(len(names))), (2, f"x {text}", *range(len(names)))], schema)
+    rows = sorted(map(tuple, drop_repeats(docs).collect()))
+    assert rows == [(1, text, *range(len(names))), (2, "x", *range(len(names)))]
+    with pytest.raises(ValueError, match="kept"):
+        without_repeats(docs)
+    free = docs.drop("kept", "n_words", "n_removed")
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.anchors, r._row) for r in without_repeats(free).collect()) == [(1, 20, 0, 0, 3), (2, 21, 20, 0, 3)]

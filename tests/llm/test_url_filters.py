@@ -120,3 +120,11 @@ def test_components(spark, shape):
         parent[b] = a
     got = connected_components(spark.createDataFrame(links, "a int, b int"), "a", "b").collect()
     assert {r.node: r.root for r in got} == {x: find(x) for x in range(201) if find(x) != x} and len(got) == len({r.node for r in got})
+
+
+def test_columns_of_any_name_stay(spark):
+    names = ["alias_verdict", "_node", "_url", "_own_node", "node", "root", "verdict", "host"]
+    pages = spark.createDataFrame([("https://a.net/x", *range(len(names)))], "url string, " + ", ".join(f"{name} int" for name in names))
+    links = spark.createDataFrame([("https://a.net/x", "https://b.com/y")], "source string, target string")
+    row = judge(pages, links, [("b.com", "/", "block")]).collect()[0]
+    assert (row.verdict, row.host, row.alias_verdict, row._node, row.root) == ("block", "a.net", 0, 1, 5)
