@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 import oracle_queries
 from ordermill.functions.order_time import strict_order_date
+from ordermill.operators import sketches
 from ordermill.plans import activity, bronze, churn, clv, gold, location, loyalty, pricing, refresh, rfm, sales, silver, summary
 from ordermill.session import configure, new_folder
-from ordermill.sources import calendar, generations, sample_orders, tables
+from ordermill.sources import buckets, calendar, generations, sample_orders, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,6 +124,56 @@ class _Inputs:
             *months.columns, F.col("generation").alias("written_by")
         )
 
+    def bucketed(self) -> tuple[DataFrame, DataFrame]:
+        """Order facts and option facts in buckets of the order id."""
+        run, option_facts = uuid.uuid4().hex[:8], silver.order_option_facts(self.options)
+        return (
+            buckets.write_bucketed(self.order_facts, f"facts_{run}", "orderid", BUCKETS),
+            buckets.write_bucketed(option_facts, f"options_{run}", "orderid", BUCKETS),
+        )
+
+    def monthly_sketches(self, values: DataFrame) -> DataFrame:
+        return tables.stage(sketches.sketched(values.withColumn("order_month", refresh.month_of()), ["total_clv"], ["order_month"]), "sketches")
+
+    def clv_from_sketches(self) -> DataFrame:
+        """Segments with brackets from the stored sketches of the months instead of a pass over the orders."""
+        facts = tables.stage(self.order_facts, "order_facts")
+        option_facts = tables.stage(silver.order_option_facts(self.options), "order_option_facts")
+        stored = self.monthly_sketches(clv.order_values(facts, option_facts))
+        return clv.clv_orders(facts, option_facts, sketches=stored)
+
+    def yearly_quantiles(self) -> DataFrame:
+        """Per year whether quantiles from the months' merged sketches have a rank within one percent of theirs."""
+        year = F.substring("order_month", 1, 4)
+        values = tables.stage(clv.order_values(self.item_facts, self.option_facts), "values")
+        merged = sketches.merged_sketches(self.monthly_sketches(values).withColumn("year", year), ["total_clv"], ["year"])
+        found = merged.select("year", *[sketches.sketched_quantile("total_clv", p).alias(f"p{p[2:]}") for p in QUANTILES])
+        rows = values.withColumn("order_month", refresh.month_of()).select(year.alias("of"), "total_clv")
+        joined = rows.join(found, F.col("of").eqNullSafe(F.col("year"))).groupBy("year").agg(
+            F.count("total_clv").alias("orders"),
+            *[F.count_if(F.col("total_clv") < F.col(f"p{p[2:]}")).alias(f"below_{p[2:]}") for p in QUANTILES],
+            *[F.count_if(F.col("total_clv") <= F.col(f"p{p[2:]}")).alias(f"to_{p[2:]}") for p in QUANTILES],
+        )
+        return joined.select(
+            "year",
+            "orders",
+            *[
+                ((F.col(f"below_{p[2:]}") <= F.col("orders") * (float(p) + 0.01)) & (F.col(f"to_{p[2:]}") >= F.col("orders") * (float(p) - 0.01))).alias(f"p{p[2:]}_close")
+                for p in QUANTILES
+            ],
+        )
+
+    def active_days(self) -> DataFrame:
+        """From two loads of months, of which the second repeats part of the first."""
+        months = tables.stage(activity.restaurant_months(activity.restaurant_days(self.order_facts)), "restaurant_months")
+        return activity.active_days(months, months.where("month >= '1998-01'"))
+
+    def december_weekends(self) -> DataFrame:
+        folder = f"{new_folder(self.spark, 'daily')}/table"
+        daily = self.daily_clv().withColumn("order_month", F.date_format("order_date", "yyyy-MM"))
+        tables.write_parquet(daily.hint("rebalance", "order_month"), folder, ["order_month"])
+        return sales.sales_on_days(tables.read_parquet(self.spark, folder), self.date_dim, "month_num = 12 AND is_weekend")
+
     def summary_by_name(self) -> DataFrame:
         """The summary as a dashboard reads it: by its name in the catalog, after two runs."""
         prefix = f"run{uuid.uuid4().hex[:8]}"
@@ -210,6 +261,12 @@ def _queries() -> dict[str, Callable[[_Inputs], DataFrame]]:
         # Everything together
         "kpi_summary": lambda i: i.summary(),
         "refresh_audit": lambda i: i.refresh_audit(),
+        "clv_orders_bucketed": lambda i: clv.clv_orders(*i.bucketed(), co_located=True),
+        "pricing_bucketed": lambda i: pricing.pricing(*i.bucketed(), co_located=True),
+        "clv_orders_sketched": lambda i: i.clv_from_sketches(),
+        "value_quantiles_by_year": lambda i: i.yearly_quantiles(),
+        "active_days": lambda i: i.active_days(),
+        "sales_december_weekends": lambda i: i.december_weekends(),
         "refresh_incremental": lambda i: i.refresh_incremental(),
         "kpi_summary_by_name": lambda i: i.summary_by_name(),
         "parquet_roundtrip": lambda i: i.round_trip(),
@@ -223,6 +280,8 @@ _DENSE = {
 }
 DENSE_RESTAURANTS = 20
 LATE_MONTHS = ("1997-03", "1998-11")
+BUCKETS = 8
+QUANTILES = ("0.20", "0.80")
 
 
 def entry(spark: SparkSession) -> DataFrame:

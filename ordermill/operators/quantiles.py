@@ -8,6 +8,8 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ordermill.operators.sketches import SKETCH_ACCURACY, merged_sketches, sketched_quantile
+
 VALUE = "decimal(20,2)"
 MOST, LIMIT = "999999999999999999.99", 999_999_999_999_999_872.0  # the largest amount, and the largest double below it
 
@@ -17,6 +19,7 @@ def quantiles(
     wanted: Mapping[str, tuple[str, str]],
     method: str = "exact",
     accuracy: int | None = None,
+    sketches: DataFrame | None = None,
 ) -> Column:
     """A scalar struct with one field per entry of `wanted`: name -> (column, fraction as text).
 
@@ -26,7 +29,19 @@ def quantiles(
     `approx` returns the sketch's own answer, with a rank error up to n / accuracy (10,000 if not
     given). `exact` takes one more pass and needs only a coarse sketch (4,000), which matters because
     every task's sketch goes to the one that merges them.
+
+    `sketches` (measure, sketch) are stored ones of the same rows, any number per column: `operators.sketches` makes and merges them. `approx` then
+    reads them alone; `exact` takes its brackets from them instead of a pass over `df`, and raises an error, rather than give a wrong value, should a
+    quantile lie outside its bracket, as with sketches of other rows.
     """
+    if sketches is not None:
+        columns = dict.fromkeys(column for column, _ in wanted.values())
+        merged = merged_sketches(sketches, columns)
+        if method == "approx":
+            types = dict(df.dtypes)
+            return merged.select(F.struct(*[sketched_quantile(c, p).cast(types[c]).alias(name) for name, (c, p) in wanted.items()])).scalar()
+        if method == "exact":
+            return _exact(df, wanted, SKETCH_ACCURACY, merged)
     if method == "exact":
         return _exact(df, wanted, accuracy or 4_000)
     if method == "approx":
@@ -39,7 +54,7 @@ def quantiles(
     raise ValueError(f"method must be 'exact' or 'approx', not {method!r}")
 
 
-def _exact(df: DataFrame, wanted: Mapping[str, tuple[str, str]], accuracy: int) -> Column:
+def _exact(df: DataFrame, wanted: Mapping[str, tuple[str, str]], accuracy: int, merged: DataFrame | None = None) -> Column:
     """Bracket each quantile with a sketch, then count exactly, keeping only in-bracket values apart.
 
     Every row falls into a slot of its column: a bracket, where values are counted one by one, or a gap between brackets, which is
@@ -62,7 +77,14 @@ def _exact(df: DataFrame, wanted: Mapping[str, tuple[str, str]], accuracy: int)
         fitted = [F.when(w >= LIMIT, most).when(w <= -LIMIT, -most).otherwise(w.cast(VALUE)) for w in wide]
         return F.array(*[bound.cast(VALUE) for bound in fitted]).alias(column)
 
-    sketch = df.agg(F.struct(*[bounds(c) for c in columns]).alias("s")).scalar()
+    def stored(column: str) -> Column:
+        ends = [sketched_quantile(column, x) for p in fractions[column] for x in (max(p - margin, Fraction(0)), min(p + margin, Fraction(1)))]
+        return F.array(*[F.coalesce(end, F.lit(0).cast(VALUE)) for end in ends]).alias(column)
+
+    if merged is None:
+        sketch = df.agg(F.struct(*[bounds(c) for c in columns]).alias("s")).scalar()
+    else:
+        sketch = merged.select(F.struct(*[stored(c) for c in columns]).alias("s")).scalar()
 
     def entry(column: str) -> Column:
         value = F.col(column).cast(VALUE)
@@ -94,6 +116,7 @@ def _exact(df: DataFrame, wanted: Mapping[str, tuple[str, str]], accuracy: int)
         .select(
             "measure",
             "value",
+            "n",
             (F.col("running") + rows_of(F.col("t"), F.col("measure"), F.col("slot"))).alias("seen"),
             rows_of(F.col("t"), F.col("measure")).alias("total"),
         )
@@ -102,7 +125,16 @@ def _exact(df: DataFrame, wanted: Mapping[str, tuple[str, str]], accuracy: int)
     def pick(column: str, p: Fraction) -> Column:
         rank = F.call_function("div", F.col("total") * p.numerator + (p.denominator - 1), F.lit(p.denominator))
         reached = (F.col("measure") == column) & (F.col("seen") >= F.greatest(rank, F.lit(1)))
-        return F.min(F.when(reached, F.col("value")))
+        found = F.min(F.when(reached, F.col("value")))
+        if merged is None:
+            return found
+        below = F.min(F.when(F.col("measure") == column, F.when(reached, F.col("seen") - F.col("n"))))
+        total = F.max(F.when(F.col("measure") == column, F.col("total")))
+        first = F.greatest(F.call_function("div", total * p.numerator + (p.denominator - 1), F.lit(p.denominator)), F.lit(1))
+        inside = found.isNotNull() & (below < first)
+        outside = F.raise_error(F.lit(f"the stored sketches of {column} do not fit its rows"))
+        empty = slots.agg(F.count_if(F.col("measure") == column)).scalar() == 0
+        return F.when(inside, found).when(empty, F.lit(None)).otherwise(outside.cast(VALUE))
 
     types = dict(df.dtypes)
     picked = [pick(c, Fraction(p)).cast(types[c]).alias(name) for name, (c, p) in wanted.items()]

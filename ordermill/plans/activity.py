@@ -49,3 +49,35 @@ def restaurant_days(order_facts: DataFrame) -> DataFrame:
             F.sum("priced_lines").alias("priced_lines"),
         )
     )
+
+
+def restaurant_months(days: DataFrame) -> DataFrame:
+    """Per restaurant and month: the days with orders as bits (bit d - 1 for day d), orders, revenue, first and last order time.
+
+    Day bits of overlapping loads combine by OR, so a day counts once however often it is loaded; orders and revenue add up over separate loads. Rows without a day
+    have month NULL and no bits.
+    """
+    return (
+        days.groupBy("restaurantid", F.date_format("day", "yyyy-MM").alias("month"))
+        .agg(
+            F.coalesce(F.bit_or(F.call_function("shiftleft", F.lit(1), F.dayofmonth("day") - 1)), F.lit(0)).alias("day_bits"),
+            F.sum("orders").alias("orders"),
+            F.sum("revenue").cast(MONEY_SUM).alias("revenue"),
+            F.min("first_ts").alias("first_ts"),
+            F.max("last_ts").alias("last_ts"),
+        )
+    )
+
+
+def active_days(*months: DataFrame) -> DataFrame:
+    """(restaurantid, active_days, active_months): distinct days and months with orders over all given tables of months, which may overlap.
+
+    At most one small row per restaurant, month and table is grouped, not the days again.
+    """
+    whole = months[0].select("restaurantid", "month", "day_bits")
+    for other in months[1:]:
+        whole = whole.unionByName(other.select("restaurantid", "month", "day_bits"))
+    merged = whole.groupBy("restaurantid", "month").agg(F.bit_or("day_bits").alias("day_bits"))
+    return merged.groupBy("restaurantid").agg(
+        F.sum(F.bit_count("day_bits")).cast("bigint").alias("active_days"), F.count_if(F.col("day_bits") != 0).alias("active_months")
+    )

@@ -11,8 +11,19 @@ from ordermill.plans.sales import named_categories
 ORDER_TYPES = ("Discounted", "Full Price")
 
 
-def order_ledger(item_facts: DataFrame, option_facts: DataFrame) -> DataFrame:
-    """Item and option measures of each order with a known id, in one grouping of both inputs."""
+def order_ledger(item_facts: DataFrame, option_facts: DataFrame, co_located: bool = False) -> DataFrame:
+    """Item and option measures of each order with a known id, in one grouping of both inputs.
+
+    With `co_located`, for inputs stored in buckets by order id, as a join of two groupings, which needs no shuffle.
+    """
+    if co_located:
+        known = F.col("orderid").isNotNull()
+        items = item_facts.where(known).groupBy("orderid").agg(F.sum("revenue").cast(MONEY_SUM).alias("revenue"), F.sum("lines").alias("lines"))
+        sums = [F.sum(m).cast(MONEY_SUM).alias(m) for m in ("discount", "addon")] + [F.sum(m).alias(m) for m in ("options", "discount_options")]
+        options = option_facts.where(known).groupBy("orderid").agg(*sums)
+        return items.join(options.hint("shuffle_hash"), "orderid", "left").na.fill(0, ["options", "discount_options"]).withColumns(
+            {m: F.coalesce(m, F.lit(0).cast(MONEY_SUM)) for m in ("discount", "addon")}
+        )
     none, nothing = F.lit(0).cast("bigint"), F.lit(0).cast(MONEY_SUM)
     sides = (
         item_facts.select(
@@ -47,7 +58,7 @@ def order_ledger(item_facts: DataFrame, option_facts: DataFrame) -> DataFrame:
     )
 
 
-def pricing(item_facts: DataFrame, option_facts: DataFrame, line_join: bool = False) -> DataFrame:
+def pricing(item_facts: DataFrame, option_facts: DataFrame, line_join: bool = False, co_located: bool = False) -> DataFrame:
     """Orders, gross, discounts, net and mean gross of discounted and full-price orders.
 
     `line_join` gives the figures of joining every line with every option of its order: an order's
@@ -56,7 +67,7 @@ def pricing(item_facts: DataFrame, option_facts: DataFrame, line_join: bool = Fa
     """
     per_option = F.greatest(F.col("options"), F.lit(1)) if line_join else F.lit(1)
     per_line = F.col("lines") if line_join else F.lit(1)
-    orders = order_ledger(item_facts, option_facts).select(
+    orders = order_ledger(item_facts, option_facts, co_located).select(
         (F.col("discount_options") > 0).alias("is_discounted"),
         (F.col("revenue") * per_option).cast(MONEY_SUM).alias("gross"),
         (F.col("discount") * per_line).cast(MONEY_SUM).alias("discounts"),

@@ -102,3 +102,19 @@ def sales_by_day(daily_clv: DataFrame) -> DataFrame:
 
 def sales_monthly_series(monthly: DataFrame) -> DataFrame:
     return monthly.select(F.concat_ws(" ", "month", "year").alias("month_label"), "monthly_revenue")
+
+
+def sales_on_days(daily_clv: DataFrame, date_dim: DataFrame, days: str) -> DataFrame:
+    """Orders and revenue per month on the calendar's days that satisfy a condition (SQL text), from `daily_clv` stored in folders by month.
+
+    The join is on the month too, which is the folder: the days that are left decide at run time which folders are read, without the condition
+    having to name them.
+    """
+    chosen = date_dim.where(days).select("date_key", F.date_format("date_key", "yyyy-MM").alias("calendar_month"))
+    same = (F.col("order_month") == F.col("calendar_month")) & (F.col("order_date") == F.col("date_key"))
+    return (
+        daily_clv.join(chosen, same)
+        .groupBy("order_month")
+        .agg(F.count(F.lit(1)).alias("total_orders"), money(F.sum("order_revenue")).alias("total_revenue"))
+        .orderBy("order_month")
+    )

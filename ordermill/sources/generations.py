@@ -127,7 +127,8 @@ def read_table(spark: SparkSession, root: str, manifest: Manifest, table: str, m
     parts = []
     for generation, names in sorted(folders.items()):
         base = f"{root}/{name_of(generation)}/{table}"
-        paths = [f"{base}/{MONTH}={name}" if name else base for name in names]
+        everything = names == [""] or sorted(names) == sorted(months_in(spark, base))
+        paths = [base] if everything else [f"{base}/{MONTH}={name}" for name in names]
         parts.append(spark.read.schema(schema).option("basePath", base).parquet(*paths))
     if not parts:
         return spark.createDataFrame([], schema)

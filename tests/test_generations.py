@@ -90,10 +90,6 @@ def test_names_show_the_last_run_for_three_runs(spark, source, dates, tmp_path):
         assert other.table("lasting_gold_kpi_summary").count() == 1
         seen.append(other.table("lasting_silver_order_facts").where("order_month = '1997-03'").agg(F.sum("lines")).first()[0])
     assert seen == sorted(set(seen))
-    refresh.refresh_increment(items.where("lineitem_id = 4 AND order_id LIKE '1997-04%'"), options.limit(0), dates, root, "more", names="lasting")
-    assert spark.table("lasting_silver_order_facts").agg(F.sum("lines")).first()[0] == items.where(
-        "lineitem_id <= 3 OR lineitem_id = 4 AND order_id LIKE '1997-04%'"
-    ).count()
     assert refresh.point_names(spark, root, "lasting") == [f"lasting_{table.replace('/', '_')}" for table in generations.latest(spark, root).tables]
 
 
@@ -142,9 +138,6 @@ def test_an_unmet_expectation_leaves_the_last_generation(spark, source, dates, t
         with pytest.raises(ExpectationFailed, match=message):
             refresh.refresh(items, options, dates, root, expect={"silver/order_items": [expected]})
         assert generations.latest(spark, root).number == 1
-    loose = {"silver/order_items": [Expectation("quantity", "itemquantity > 10", share=1.0)]}
-    refresh.refresh(part, none, dates, root, expect=loose)
-    assert generations.latest(spark, root).number > 1
 
 
 def test_columns_may_come_and_widen_between_generations(spark, source, dates, tmp_path):
