@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,19 @@ MARKS = frozenset(
     " commentlist commentform disqus respond reply replies discussion share sharing social related recommended newsletter subscribe subscription signup login popup modal overlay"
     " widget widgets pagination pager toolbar".split()
 )
+#: Those that name what is never an article's own text, and the elements whose names are heeded inside an article.
+ALWAYS = frozenset(
+    "ad ads adv advert adverts advertisement advertisements advertising sponsor sponsored comment comments commentlist commentform disqus"
+    " cookie cookies consent gdpr newsletter".split()
+)
+CONTAINERS = frozenset("div section aside ul ol dl table figure span".split())
+#: Words of names that say how a part is laid out, not what it is.
+LAYOUT = frozenset(
+    "box block container wrapper wrap inner outer left right top bottom area item items list link links section panel col row bar button buttons text"
+    " content body group holder small large".split()
+)
 _WORD = re.compile("[A-Z]?[a-z]+|[A-Z]+")
+_TAG = re.compile("<[A-Za-z/!?]")
 _STATE = re.compile(r"(?:has|no|with|without|is|not)[-_]|.*[-_](?:open|enabled|disabled|visible|hidden)$", re.I)
 
 
@@ -45,28 +59,43 @@ def _names(value: str) -> set[str]:
     return {word.lower() for name in value.split() if not _STATE.match(name) for word in _WORD.findall(name)}
 
 
+class Line(NamedTuple):
+    text: str
+    tags: int  # met since the last line
+    links: int  # characters in links
+    region: int  # the innermost region around it, -1 for none
+    part: int  # the innermost part of doubtful name around it, -1 for none
+
+
 class _Lines(HTMLParser):
-    """Collects lines outside dropped elements: text, tags met since the last line, and the open regions."""
+    """Collects lines outside dropped elements. Regions and parts are numbered as they open and know the one around them.
+
+    What is open is found by counts and by the places of the open blocks, so a page costs in proportion to its length, however it is nested.
+    """
 
     def __init__(self, marks: bool) -> None:
         super().__init__(convert_charrefs=True)
         self.marks = marks
-        self.open: list[tuple[str, bool, int]] = []  # tag, dropped, region or -1
-        self.dropped = 0
-        self.regions = 0
+        self.open: list[tuple[str, bool, int, int]] = []  # tag, dropped, region and part before it
+        self.blocks: list[int] = []  # places of the open blocks
+        self.counts: Counter[str] = Counter()  # open blocks by tag
+        self.inline: list[Counter[str]] = [Counter()]  # open other elements by tag, inside each open block
+        self.dropped = self.contents = self.links = 0  # open dropped elements, articles and mains, links
+        self.region = self.part = -1
+        self.around: list[int] = []  # the region around each region
+        self.outer: list[int] = []  # the part around each part
         self.articles: set[int] = set()  # regions that are article or main elements
-        self.contents = 0  # open article and main elements
         self.parts: list[str] = []
-        self.tags = 0
-        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
+        self.tags = self.linked = 0
+        self.lines: list[Line] = []
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         self.parts = []
         if text:
-            path = tuple(region for _, _, region in self.open if region >= 0)
-            self.lines.append((text, max(1, self.tags), path))
+            self.lines.append(Line(text, max(1, self.tags), self.linked, self.region, self.part))
             self.tags = 0
+        self.linked = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += not self.dropped
@@ -77,62 +106,116 @@ class _Lines(HTMLParser):
             self._close_implied(tag)
         if tag in VOID:
             return
-        dropped = tag in DROPPED or tag == "header" and not self.contents or self._marked(tag, attrs)
-        region = -1
+        verdict = self._marked(tag, attrs)
+        dropped = tag in DROPPED or tag == "header" and not self.contents or verdict == "drop"
+        self.open.append((tag, dropped, self.region, self.part))
         if tag in REGIONS:
-            region = self.regions
-            self.regions += 1
+            self.around.append(self.region)
+            self.region = len(self.around) - 1
             if tag in ("article", "main"):
-                self.articles.add(region)
+                self.articles.add(self.region)
+        if verdict == "doubt":
+            self.outer.append(self.part)
+            self.part = len(self.outer) - 1
+        if tag in BLOCKS:
+            self.blocks.append(len(self.open) - 1)
+            self.counts[tag] += 1
+            self.inline.append(Counter())
+        else:
+            self.inline[-1][tag] += 1
         self.contents += tag in ("article", "main")
+        self.links += tag == "a"
         self.dropped += dropped
-        self.open.append((tag, dropped, region))
 
-    def _marked(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def _marked(self, tag: str, attrs: list[tuple[str, str | None]]) -> str:
+        """`drop`, `doubt` or nothing. Inside an article only containers are judged by name, and a class that merely has such a word, or an id,
+        which is often made of a heading's words, leaves a doubt that the part's own text decides."""
         if not attrs or tag in ("html", "body", "main") or tag == "article" and not self.contents:
-            return False
+            return ""
+        doubt = ""
         for name, value in attrs:
             value = value or ""
             if name == "role" and value.strip().lower() in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
+                return "drop"
             if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True
+                return "drop"
             if name in ("class", "id") and self.marks:
                 names = _names(value)
-                if not MARKS.isdisjoint(names) or "header" in names and not self.contents:
-                    return True
-        return False
+                if not self.contents:
+                    if not MARKS.isdisjoint(names) or "header" in names:
+                        return "drop"
+                elif tag in CONTAINERS or tag == "article":
+                    found = names & MARKS
+                    if found & ALWAYS or found and name == "class" and _named_by_mark(value):
+                        return "drop"
+                    if found:
+                        doubt = "doubt"
+        return doubt
 
     def _close_implied(self, tag: str) -> None:
         """A block ends an open paragraph, and an item or cell its forerunner, up to the nearest list or table."""
         ends = ENDS.get(tag, frozenset())
-        for at in range(len(self.open) - 1, -1, -1):
-            name = self.open[at][0]
+        at = len(self.blocks) - 1
+        while at >= 0:
+            name = self.open[self.blocks[at]][0]
             if name == "p" or name in ends:
-                self._pop_to(at)
-            elif name in BLOCKS and name not in ("tbody", "thead", "tfoot"):
+                self._pop_to(self.blocks[at])
+            elif name not in ("tbody", "thead", "tfoot"):
                 break
+            at = min(at, len(self.blocks)) - 1
 
     def _pop_to(self, at: int) -> None:
         while len(self.open) > at:
-            tag, dropped, _ = self.open.pop()
+            tag, dropped, self.region, self.part = self.open.pop()
+            if tag in BLOCKS:
+                self.blocks.pop()
+                self.inline.pop()
+                self.counts[tag] -= 1
+            else:
+                self.inline[-1][tag] -= 1
             self.dropped -= dropped
             self.contents -= tag in ("article", "main")
+            self.links -= tag == "a"
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += not self.dropped
         if tag in BLOCKS:
             self.end_line()
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == tag:
-                self._pop_to(at)
-                return
-            if tag not in BLOCKS and self.open[at][0] in BLOCKS:
-                return
+            if self.counts[tag]:
+                at = len(self.blocks) - 1
+                while self.open[self.blocks[at]][0] != tag:
+                    at -= 1
+                self._pop_to(self.blocks[at])
+        elif self.inline[-1][tag]:
+            at = len(self.open) - 1
+            while self.open[at][0] != tag:
+                at -= 1
+            self._pop_to(at)
 
     def handle_data(self, data: str) -> None:
         if not self.dropped:
             self.parts.append(data)
+            if self.links:
+                self.linked += len(data)
+
+
+def _named_by_mark(value: str) -> bool:
+    """Whether the word that says what a class is, the last that is not one of layout, marks it: `siteFooter`, `share-links`, not `related-work`."""
+    for name in value.split():
+        words = [word.lower() for word in _WORD.findall(name)]
+        telling = [word for word in words if word not in LAYOUT] or words
+        if telling and telling[-1] in MARKS and not _STATE.match(name):
+            return True
+    return False
+
+
+def _added_up(values: list[float], around: list[int]) -> list[float]:
+    """For every region (or part) its own value and those of all inside it; what is around one has a smaller number."""
+    sums = list(values)
+    for at in range(len(sums) - 1, -1, -1):
+        if around[at] >= 0:
+            sums[around[at]] += sums[at]
+    return sums
 
 
 def smoothed(values: np.ndarray, sigma: float) -> np.ndarray:
@@ -143,41 +226,69 @@ def smoothed(values: np.ndarray, sigma: float) -> np.ndarray:
     return total / np.convolve(np.ones(len(values)), weights)[reach : reach + len(values)]
 
 
-def content_region(lines: list[tuple[str, int, tuple[int, ...]]], articles: set[int], sigma: float, share: float) -> int | None:
-    """The article or main around the innermost region that holds this share of the text in dense lines, None if no region does.
+def densities(lines: list[Line], sigma: float) -> tuple[np.ndarray, np.ndarray, float]:
+    """Each line's characters per tag, these smoothed, and the threshold: the spread (standard deviation) of the smoothed ones."""
+    own = np.array([len(line.text) / line.tags for line in lines])
+    near = smoothed(own, sigma)
+    return own, near, float(near.std())
 
-    Where no article or main is around it, the innermost region around it that holds all lines dense in themselves.
 
-    A line's density is its characters per tag. Lines whose smoothed density reaches the spread (standard deviation) of all smoothed densities are
-    dense.
+def content_region(lines: list[Line], around: list[int], articles: set[int], sigma: float, share: float) -> int | None:
+    """The article or main around the innermost region that holds this share of the text in dense lines, None if no region does.
+
+    Where no article or main is around it, the innermost region around it that holds all lines dense in themselves. Lines whose smoothed density
+    reaches the threshold are dense.
     """
-    sizes = np.array([len(text) for text, _, _ in lines], dtype=float)
-    own = sizes / np.array([tags for _, tags, _ in lines])
-    density = smoothed(own, sigma)
-    dense = density >= density.std()
-    held: dict[int, float] = {}
-    for at in np.flatnonzero(dense).tolist():
-        for region in lines[at][2]:
-            held[region] = held.get(region, 0) + sizes[at]
-    enough = [region for region, size in held.items() if size >= share * sizes[dense].sum()]
+    own, near, least = densities(lines, sigma)
+    dense, firm = near >= least, (near >= least) & (own >= least)
+    held, firms = [0.0] * len(around), [0.0] * len(around)
+    for line, is_dense, is_firm in zip(lines, dense.tolist(), firm.tolist(), strict=True):
+        if line.region >= 0:
+            held[line.region] += len(line.text) * is_dense
+            firms[line.region] += is_firm
+    total = sum(len(line.text) for line, is_dense in zip(lines, dense.tolist(), strict=True) if is_dense)
+    held, firms = _added_up(held, around), _added_up(firms, around)
+    enough = [region for region, size in enumerate(held) if size > 0 and size >= share * total]
     if not enough:
         return None
-    inner = max(enough)  # regions are numbered as they open, so the largest lies innermost
-    path = next(path for _, _, path in lines if inner in path)
-    around = [region for region in path if region <= inner and region in articles]
-    if around:
-        return max(around)
-    firm = np.flatnonzero(dense & (own >= density.std())).tolist()  # not dense by their neighbours alone
-    shared = set.intersection(set(path[: path.index(inner) + 1]), *(set(lines[at][2]) for at in firm))
-    return max(shared, default=None)
-
-
-def _lines(html: str, marks: bool) -> tuple[list[tuple[str, int, tuple[int, ...]]], set[int]]:
+    chosen = max(enough)  # regions are numbered as they open, so the largest lies innermost
+    path = []
+    while chosen >= 0:
+        path.append(chosen)
+        chosen = around[chosen]
+    for wanted in ((region in articles for region in path), (firms[region] == firm.sum() for region in path)):
+        for region, fits in zip(path, wanted, strict=True):
+            if fits:
+                return region
+    return None
+
+
+def _without_doubt(lines: list[Line], outer: list[int], sigma: float) -> list[Line]:
+    """The lines but for those of doubtful parts that are not mostly dense text, or are links by more than a third."""
+    if not outer:
+        return lines
+    own, _, least = densities(lines, sigma)
+    size, firm, linked = ([0.0] * len(outer) for _ in range(3))
+    for line, density in zip(lines, own.tolist(), strict=True):
+        if line.part >= 0:
+            size[line.part] += len(line.text)
+            firm[line.part] += len(line.text) * (density >= least)
+            linked[line.part] += line.links
+    size, firm, linked = (_added_up(values, outer) for values in (size, firm, linked))
+    stays: list[bool] = []
+    for part, parent in enumerate(outer):
+        stays.append(2 * firm[part] >= size[part] and 3 * linked[part] <= size[part] and (parent < 0 or stays[parent]))
+    return [line for line in lines if line.part < 0 or stays[line.part]]
+
+
+def _parsed(html: str, marks: bool) -> _Lines:
     parser = _Lines(marks)
-    parser.feed(html)
+    end = html.rfind(">") + 1  # a tag that begins behind it never ends: it is dropped, as browsers do, without a search for its end
+    unended = _TAG.search(html, end)
+    parser.feed(html[: unended.start()] if unended else html)
     parser.close()
     parser.end_line()
-    return parser.lines, parser.articles
+    return parser
 
 
 def main_text(html: str, sigma: float = 1.0, share: float = 0.75) -> str:
@@ -185,20 +296,24 @@ def main_text(html: str, sigma: float = 1.0, share: float = 0.75) -> str:
 
     Where names of classes leave nothing (a frame around all of a page may have such a name) they are not heeded.
     """
-    lines, articles = _lines(html, True)
-    if not lines:
-        lines, articles = _lines(html, False)
-    if not lines:
+    parser = _parsed(html, True)
+    if not parser.lines:
+        parser = _parsed(html, False)
+    if not parser.lines:
         return ""
-    region = content_region(lines, articles, sigma, share)
-    return "\n".join(text for text, _, path in lines if region is None or region in path)
+    region = content_region(parser.lines, parser.around, parser.articles, sigma, share)
+    inside = [False] * len(parser.around)
+    for at, parent in enumerate(parser.around):
+        inside[at] = at == region or parent >= 0 and inside[parent]
+    lines = _without_doubt(parser.lines, parser.outer, sigma)
+    return "\n".join(line.text for line in lines if region is None or line.region >= 0 and inside[line.region])
 
 
 def extract(pages: DataFrame, html_column: str = "html") -> DataFrame:
     """`pages` with the main text in place of the html column.
 
     Null and empty html, and pages of nothing but dropped elements, give the empty text. Unclosed and crossed tags are
-    borne as a browser does; a page is read in one pass whatever its length. Repeated rows each get their text, other columns stay as they
+    borne as a browser does; a page is read in one pass, in time proportional to its length. Repeated rows each get their text, other columns stay as they
     are; an empty table stays empty.
     """
     at = pages.columns.index(html_column)
