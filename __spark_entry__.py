@@ -18,7 +18,7 @@ from ordermill.functions.order_time import strict_order_date
 from ordermill.operators import sketches
 from ordermill.plans import activity, bronze, churn, clv, gold, location, loyalty, pricing, refresh, rfm, sales, silver, summary
 from ordermill.session import configure, new_folder
-from ordermill.sources import buckets, calendar, generations, sample_orders, tables
+from ordermill.sources import buckets, calendar, generations, jdbc, sample_orders, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -174,6 +174,27 @@ class _Inputs:
         tables.write_parquet(daily.hint("rebalance", "order_month"), folder, ["order_month"])
         return sales.sales_on_days(tables.read_parquet(self.spark, folder), self.date_dim, "month_num = 12 AND is_weekend")
 
+    def rescued(self) -> DataFrame:
+        """Prices that the source has as `USD 12.50` on some lines, read again from the rescued texts; quantities `n/a` stay unread but kept."""
+        price = F.when(F.col("lineitem_id") == 5, F.concat(F.lit("USD "), F.col("item_price").cast("string"))).otherwise(F.col("item_price").cast("string"))
+        quantity = F.when(F.col("lineitem_id") == 6, "n/a").otherwise(F.col("item_quantity").cast("int").cast("string"))
+        raw = self.raw_items.withColumns({"item_price": price, "item_quantity": quantity})
+        stored = tables.stage(bronze.bronze_order_items(raw, trace=True, rescue=True), "rescued")
+        items = bronze.repaired(stored, {"itemprice": lambda text: F.regexp_replace(text, "^USD ", "")})
+        return items.select(
+            "orderid", "lineitemid", "itemname", "itemprice", "itemquantity",
+            F.try_variant_get(F.col(bronze.RESCUED), "$.itemquantity", "string").alias("source_quantity"),
+            F.array_join(bronze.UNREADABLE, ",").alias("unreadable"),
+        )
+
+    def split_cover(self) -> DataFrame:
+        """How many conditions of a balanced split each line meets, and whether no part is twice the mean or more."""
+        keys = self.items.select("lineitemid", F.to_date("creationtimeutc").alias("day"))
+        conditions = jdbc.balanced_predicates(keys, "day", SPLITS)
+        met = [F.coalesce(F.expr(condition), F.lit(False)) for condition in conditions]
+        counted = keys.agg(F.count(F.lit(1)).alias("lines"), F.sum(sum((m.cast("bigint") for m in met), F.lit(0))).alias("met"), F.array(*[F.count_if(m) for m in met]).alias("parts"))
+        return counted.select("lines", "met", (F.array_max("parts") * SPLITS < 2 * F.col("lines")).alias("balanced"))
+
     def summary_by_name(self) -> DataFrame:
         """The summary as a dashboard reads it: by its name in the catalog, after two runs."""
         prefix = f"run{uuid.uuid4().hex[:8]}"
@@ -267,6 +288,8 @@ def _queries() -> dict[str, Callable[[_Inputs], DataFrame]]:
         "value_quantiles_by_year": lambda i: i.yearly_quantiles(),
         "active_days": lambda i: i.active_days(),
         "sales_december_weekends": lambda i: i.december_weekends(),
+        "bronze_rescued": lambda i: i.rescued(),
+        "source_split_cover": lambda i: i.split_cover(),
         "refresh_incremental": lambda i: i.refresh_incremental(),
         "kpi_summary_by_name": lambda i: i.summary_by_name(),
         "parquet_roundtrip": lambda i: i.round_trip(),
@@ -281,6 +304,7 @@ _DENSE = {
 DENSE_RESTAURANTS = 20
 LATE_MONTHS = ("1997-03", "1998-11")
 BUCKETS = 8
+SPLITS = 16
 QUANTILES = ("0.20", "0.80")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from ordermill.functions.order_time import ISO_MILLIS
 from ordermill.sources.jdbc import SourceSchemaError, require_columns
 
 UNREADABLE = "unreadable"
+RESCUED = "rescued"
 
 # Source names, target names in table order, and target types.
 ITEM_NAMES = {
@@ -82,19 +83,60 @@ def unreadable(columns: Mapping[str, str]) -> Column:
     return F.array_compact(F.array(*checks)).alias(UNREADABLE)
 
 
-def bronze_order_items(raw: DataFrame, trace: bool = False) -> DataFrame:
+def rescued(columns: Mapping[str, str]) -> Column:
+    """The source's own texts of the values that do not fit their types, by column, as one VARIANT; NULL where all fit."""
+    lost = [
+        F.when(F.col(c).isNotNull() & _typed(c, kind).isNull(), F.struct(F.lit(c), F.col(c).cast("string")))
+        for c, kind in columns.items()
+    ]
+    entries = F.array_compact(F.array(*lost))
+    return F.when(F.size(entries) > 0, F.to_variant_object(F.map_from_entries(entries))).alias(RESCUED)
+
+
+def repaired(df: DataFrame, readers: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
+    """A bronze table with rescued values read again: `readers` gives for a column how to read its source text.
+
+    What a reader makes of a text, cast to the column's type, takes the NULL's place. Texts that still cannot be read stay in the rescued column (and a traced
+    table still names their columns); columns without a reader are left as they are. Rows without rescued values do not change.
+    """
+    kinds = dict(df.dtypes)
+
+    def text(column: str) -> Column:
+        return F.try_variant_get(F.col(RESCUED), f"$.{column}", "string")
+
+    again = {c: F.coalesce(F.col(c), read(text(c)).try_cast(kinds[c])) for c, read in readers.items()}
+    left = [
+        F.when(text(c).isNotNull() & again.get(c, F.lit(None)).isNull(), F.struct(F.lit(c), text(c)))
+        for c in df.columns
+        if c not in (RESCUED, UNREADABLE)
+    ]
+    entries = F.array_compact(F.array(*left))
+    changed = again | {RESCUED: F.when(F.size(entries) > 0, F.to_variant_object(F.map_from_entries(entries)))}
+    if UNREADABLE in df.columns:
+        changed[UNREADABLE] = F.filter(UNREADABLE, lambda name: ~F.exists(_read_again(again, text), lambda done: done == name))
+    return df.withColumns(changed)
+
+
+def _read_again(again: Mapping[str, Column], text: Callable[[str], Column]) -> Column:
+    """Names of the columns whose rescued text could be read."""
+    return F.array_compact(F.array(*[F.when(text(c).isNotNull() & value.isNotNull(), F.lit(c)) for c, value in again.items()]))
+
+
+def bronze_order_items(raw: DataFrame, trace: bool = False, rescue: bool = False) -> DataFrame:
     """Order lines. Columns without a fixed type may be missing; those with one may not.
 
-    A value that does not fit its type becomes NULL; with `trace` a further column names such columns.
+    A value that does not fit its type becomes NULL; with `trace` a further column names such columns, with `rescue` one has
+    their values as the source had them (see `repaired`).
     """
     df = _resolved(raw, ITEM_NAMES | {"currency": "currency"}, ITEM_TYPES)
     kinds = {c: ISO_MILLIS if c == "creationtimeutc" else ITEM_TYPES.get(c) for c in ITEM_COLUMNS if c in df.columns}
     columns = [_typed(c, kind).alias(c) if kind else F.col(c) for c, kind in kinds.items()]
-    return df.select(*columns, *[unreadable({c: k for c, k in kinds.items() if k})] * trace)
+    typed = {c: k for c, k in kinds.items() if k}
+    return df.select(*columns, *[unreadable(typed)] * trace, *[rescued(typed)] * rescue)
 
 
-def bronze_order_item_options(raw: DataFrame, trace: bool = False) -> DataFrame:
+def bronze_order_item_options(raw: DataFrame, trace: bool = False, rescue: bool = False) -> DataFrame:
     """Options of order lines. Columns the library does not know are kept as they are."""
     df = _resolved(raw, OPTION_NAMES, OPTION_TYPES)
     columns = [_typed(c, OPTION_TYPES[c]).alias(c) if c in OPTION_TYPES else F.col(f"`{c}`") for c in df.columns]
-    return df.select(*columns, *[unreadable(OPTION_TYPES)] * trace)
+    return df.select(*columns, *[unreadable(OPTION_TYPES)] * trace, *[rescued(OPTION_TYPES)] * rescue)

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 class SourceSchemaError(ValueError):
@@ -68,6 +69,23 @@ def read_jdbc(
     return require_columns(spark.read.format("jdbc").options(**options).load())
 
 
+def balanced_predicates(keys: DataFrame, column: str, partitions: int, accuracy: int = 10_000) -> list[str]:
+    """Conditions for `read_jdbc` that split a table by ranges of a key into parts of about equal numbers of rows.
+
+    `keys` has the key column as an earlier load stored it; its quantiles, not its smallest and largest value, are where the ranges meet, so uneven keys do
+    not give uneven parts. Every row, loaded or new, meets exactly one condition: the outer ranges are open, NULLs have one of their own. A range holds at most
+    about rows / partitions rows, and beyond that only the rows of one key, which no range can split. Keys are numbers, dates or timestamps.
+    """
+    kind = dict(keys.dtypes)[column]
+    places = [k / partitions for k in range(1, partitions)]
+    cuts = keys.agg(F.percentile_approx(column, places, accuracy).alias("cuts")).select(F.array_distinct("cuts").cast("array<string>")).first()[0] if places else None
+    marks = [f"{kind.split('_')[0].upper()} '{cut}'" if kind in ("date", "timestamp", "timestamp_ntz") else cut for cut in cuts or []]
+    if not marks:
+        return [f"{column} IS NOT NULL", f"{column} IS NULL"]
+    between = [f"{column} >= {low} AND {column} < {high}" for low, high in zip(marks, marks[1:], strict=False)]
+    return [f"{column} < {marks[0]}", *between, f"{column} >= {marks[-1]}", f"{column} IS NULL"]
+
+
 def require_columns(df: DataFrame, needed: Sequence[str] = ()) -> DataFrame:
     """The same DataFrame, or an error if it has no columns at all or lacks a needed one."""
     if not df.columns:

@@ -5,9 +5,9 @@ from decimal import Decimal
 
 import pytest
 
-from ordermill.plans.bronze import ITEM_COLUMNS, bronze_order_item_options, bronze_order_items
 from pyspark.sql import functions as F
 
+from ordermill.plans.bronze import ITEM_COLUMNS, bronze_order_item_options, bronze_order_items, repaired
 from ordermill.plans.silver import silver_order_item_options
 from ordermill.sources.jdbc import SourceSchemaError
 
@@ -116,3 +116,16 @@ def test_a_trace_tells_unreadable_from_absent(spark):
     assert [(r["has_order_id"], r["has_amount"], r["unreadable_price"], r["unreadable_quantity"]) for r in rows] == [
         (True, False, True, False), (True, False, False, False), (True, False, False, True), (False, True, False, False),
     ]
+
+
+def test_rescued_values_can_be_read_again(spark):
+    source = raw(spark, item_price="12,50 EUR", item_quantity="two", lineitem_id="7")
+    items = bronze_order_items(source.unionByName(raw(spark)), trace=True, rescue=True)
+    again = repaired(items, {"itemprice": lambda text: F.replace(F.regexp_replace(text, "[^0-9,]", ""), F.lit(","), F.lit(".")), "itemquantity": lambda text: text})
+    row = again.where("lineitemid = 7").selectExpr("itemprice", "itemquantity", "unreadable", "CAST(rescued AS string) AS left_over").first()
+    assert (str(row.itemprice), row.itemquantity, row.unreadable, row.left_over) == ("12.50", None, ["itemquantity"], '{"itemquantity":"two"}')
+    other = again.where("lineitemid <> 7")
+    assert other.where("rescued IS NULL AND size(unreadable) = 0").count() == 1
+    assert items.selectExpr("CAST(rescued AS string) AS r").where("r IS NOT NULL").first().r == '{"itemprice":"12,50 EUR","itemquantity":"two"}'
+    options = spark.createDataFrame([("o", "1", "abc", "1", "x")], "ORDER_ID string, LINEITEM_ID string, OPTION_PRICE string, OPTION_QUANTITY string, more string")
+    assert bronze_order_item_options(options, rescue=True).selectExpr("CAST(rescued AS string) AS r").first().r == '{"optionprice":"abc"}'

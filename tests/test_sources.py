@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ordermill.session import shared_folder
 from ordermill.sources import sample_orders, tables
 from ordermill.sources.calendar import FIRST_DAY, LAST_DAY, date_dim, date_dim_spanning
-from ordermill.sources.jdbc import JdbcSplit, SourceSchemaError, jdbc_options, read_jdbc, require_columns
+from ordermill.sources.jdbc import JdbcSplit, SourceSchemaError, balanced_predicates, jdbc_options, read_jdbc, require_columns
 
 URL = "jdbc:example://host/db"
 
@@ -166,3 +166,23 @@ def test_few_restaurants_keep_all_lines(spark, small):
     dense = sample_orders.raw_order_items(spark, small, 20)
     assert dense.count() == sample_orders.raw_order_items(spark, small).count()
     assert dense.select("restaurant_id").distinct().count() == 20
+
+
+@pytest.mark.parametrize(
+    "key", ["CAST(pow(id, 3) AS bigint)", "CAST(sqrt(id) * 10 AS decimal(20,2))", "date_add(DATE'2020-01-01', CAST(log2(id + 1) * 50 + id / 20 AS int))",
+            "CAST('2020-01-01' AS timestamp) + make_dt_interval(0, 0, 0, id * id)"],
+)
+def test_balanced_predicates_cover_uneven_keys_once(spark, key):
+    keys = spark.range(10_000).select(F.when(F.col("id") % 100 > 0, F.expr(key)).alias("k"))
+    conditions = balanced_predicates(keys, "k", 20)
+    assert len(conditions) == 21
+    sizes = [keys.where(condition).count() for condition in conditions]
+    assert sum(sizes) == 10_000 and max(sizes) < 2 * 10_000 / 20
+    whole = keys.select(sum((F.coalesce(F.expr(c), F.lit(False)).cast("int") for c in conditions), F.lit(0)).alias("n"))
+    assert whole.distinct().collect() == [(1,)]
+
+
+def test_balanced_predicates_of_one_key_or_none(spark):
+    one = spark.range(50).selectExpr("7 AS k")
+    assert balanced_predicates(one, "k", 4) == ["k < 7", "k >= 7", "k IS NULL"]
+    assert balanced_predicates(one.where("false"), "k", 4) == balanced_predicates(one, "k", 1) == ["k IS NOT NULL", "k IS NULL"]
