@@ -84,13 +84,13 @@ def test_names_show_the_last_run_for_three_runs(spark, source, dates, tmp_path):
     seen = []
     for run in range(3):
         part = items.where(F.col("lineitem_id") <= run + 1)
-        refresh.refresh(part, options, dates, root, keep=1, names="lasting")
+        refresh.refresh(part, options, dates, root, keep=1, names="standing")
         other = spark.newSession()
-        assert other.table("lasting_bronze_order_items").count() == part.count()
-        assert other.table("lasting_gold_kpi_summary").count() == 1
-        seen.append(other.table("lasting_silver_order_facts").where("order_month = '1997-03'").agg(F.sum("lines")).first()[0])
+        assert other.table("standing_bronze_order_items").count() == part.count()
+        assert other.table("standing_gold_kpi_summary").count() == 1
+        seen.append(other.table("standing_silver_order_facts").where("order_month = '1997-03'").agg(F.sum("lines")).first()[0])
     assert seen == sorted(set(seen))
-    assert refresh.point_names(spark, root, "lasting") == [f"lasting_{table.replace('/', '_')}" for table in generations.latest(spark, root).tables]
+    assert refresh.point_names(spark, root, "standing") == [f"standing_{table.replace('/', '_')}" for table in generations.latest(spark, root).tables]
 
 
 def test_two_runs_at_once_have_folders_of_their_own_and_one_publishes(spark, source, dates, tmp_path, monkeypatch):
