@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ordermill.llm.shared import staged
+
 from ordermill.llm.url_filters import node_of
 
 #: Headers that a 304 answer may carry for the stored response (HTTP semantics, status code 304).
@@ -47,11 +49,12 @@ def validators_agree(response: Column, revisit: Column) -> Column:
 def latest_responses(records: DataFrame, span_seconds: int = SPAN_SECONDS) -> DataFrame:
     """(revisit, response): for each revisit among rows (record_id, key, at, full) the latest earlier full response of its key.
 
-    Earlier means an earlier time, or the same time and a smaller record id. A key's captures are cut into spans of time: inside a span a window
-    looks back, across spans the last response of each span is handed on. So a key of very many captures is many groups.
+    Earlier means an earlier time, or the same time and a smaller record id. The captures are dealt out by ranges of key, time and id, and a key's
+    are cut into spans where a range ends or a span of time does: inside a span a window looks back, across spans the last response of each span is handed
+    on. So a key of very many captures is many groups, also where all of them are of one day or without a time.
     """
-    span = F.floor(F.col("at") / span_seconds)
-    rows = records.withColumn("span", span)
+    dealt = records.repartitionByRange("key", "at", "record_id")
+    rows = staged(dealt.withColumn("span", F.struct(F.floor(F.col("at") / span_seconds).alias("time"), F.spark_partition_id().alias("range"))), "spans")
     found = F.when(F.col("full"), F.struct("at", "record_id"))
     back = Window.partitionBy("key", "span").orderBy("at", "record_id").rowsBetween(Window.unboundedPreceding, -1)
     inside = rows.withColumn("near", F.last(found, ignorenulls=True).over(back)).where(~F.col("full"))

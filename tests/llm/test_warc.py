@@ -83,3 +83,26 @@ def test_odd_rows(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     assert [(r[0], r[1], r[2], r[4]) for r in found(warc.resolve(df))] == [(2, 1, "resolved", body), (3, None, "missing", None), (4, None, "missing", None)]
     assert warc.resolve(df.limit(0)).count() == 0
+
+
+def test_a_key_of_very_many_captures_in_a_day(spark, monkeypatch):
+    records = spark.range(20_000).selectExpr("id AS record_id", "'net,a)/x' AS key", "CAST(id DIV 50 AS bigint) AS at", "id % 100 = 0 AS full")
+    found = warc.latest_responses(records)
+    assert found.count() == 19_800
+    assert found.where("response <> revisit - revisit % 100 OR response IS NULL").count() == 0
+    staged_rows = []
+    plain = warc.staged
+
+    def seen(df, name):
+        staged_rows.append(plain(df, name))
+        return staged_rows[-1]
+
+    monkeypatch.setattr(warc, "staged", seen)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # few rows here would be one range
+    try:
+        again = warc.latest_responses(records)
+        assert again.where("response = revisit - revisit % 100").count() == 19_800
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [row["count"] for row in staged_rows[0].groupBy("span").count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 20_000 * 0.6
