@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.operators.sketches import SKETCH_ACCURACY, merged_sketches, sketched_quantile
@@ -67,85 +67,72 @@ def _exact(df: DataFrame, wanted: Mapping[str, tuple[str, str]], accuracy: int,
     columns = list(dict.fromkeys(column for column, _ in wanted.values()))
     fractions = {c: sorted({Fraction(p) for col, p in wanted.values() if col == c}) for c in columns}
     margin = Fraction(4, accuracy)
+    ends = {c: [end for p in fractions[c] for end in (max(p - margin, Fraction(0)), min(p + margin, Fraction(1)))] for c in columns}
 
-    def bounds(column: str) -> Column:
-        places = [float(x) for p in fractions[column] for x in (max(p - margin, 0), min(p + margin, 1))]
-        found = F.percentile_approx(F.col(column).cast("double"), places, accuracy)
-        spread = [F.abs(found[i]) * 2.0**-50 + 0.01 for i in range(len(places))]
-        wide = [found[i] + (spread[i] if i % 2 else -spread[i]) for i in range(len(places))]
-        most = F.lit(MOST).cast(VALUE)
-        fitted = [F.when(w >= LIMIT, most).when(w <= -LIMIT, -most).otherwise(w.cast(VALUE)) for w in wide]
-        return F.array(*[bound.cast(VALUE) for bound in fitted]).alias(column)
-
-    def stored(column: str) -> Column:
-        ends = [sketched_quantile(column, x) for p in fractions[column] for x in (max(p - margin, Fraction(0)), min(p + margin, Fraction(1)))]
-        return F.array(*[F.coalesce(end, F.lit(0).cast(VALUE)) for end in ends]).alias(column)
+    # Expressions are written as SQL text: a report builds them anew each time, and text is one call instead of one per operation.
+    def bounds(column: str) -> str:
+        places = ", ".join(f"{float(x)!r}D" for x in ends[column])
+        found = f"percentile_approx(CAST(`{column}` AS double), array({places}), {accuracy})"
+        wide = f"x + if(k % 2 = 1, 1, -1) * (abs(x) * {2.0**-50!r}D + 0.01D)"
+        fitted = f"CASE WHEN {wide} >= {LIMIT}D THEN CAST({MOST} AS {VALUE}) WHEN {wide} <= -{LIMIT}D THEN -CAST({MOST} AS {VALUE}) ELSE CAST({wide} AS {VALUE}) END"
+        return f"'{column}', transform({found}, (x, k) -> {fitted})"
 
     if merged is None:
-        sketch = df.agg(F.struct(*[bounds(c) for c in columns]).alias("s")).scalar()
+        sketch = df.agg(F.expr(f"named_struct({', '.join(map(bounds, columns))})").alias("s")).scalar()
     else:
-        sketch = merged.select(F.struct(*[stored(c) for c in columns]).alias("s")).scalar()
+        nothing = F.lit(0).cast(VALUE)
+        stored = [F.array(*[F.coalesce(sketched_quantile(c, end), nothing) for end in ends[c]]).alias(c) for c in columns]
+        sketch = merged.select(F.struct(*stored).alias("s")).scalar()
 
-    def entry(column: str) -> Column:
-        value = F.col(column).cast(VALUE)
-        slot = _slot(value, F.col("s")[column], len(fractions[column]))
-        return F.struct(F.lit(column).alias("measure"), slot.alias("slot"), F.when(slot % 2 == 1, value).alias("value"))
+    def entry(column: str) -> str:
+        slot = _slot(f"CAST(`{column}` AS {VALUE})", f"s.`{column}`", len(fractions[column]))
+        inside = f"if({slot} % 2 = 1, CAST(`{column}` AS {VALUE}), NULL)"
+        return f"named_struct('measure', '{column}', 'slot', {slot}, 'value', {inside})"
 
     frequency = (
         df.select(*columns)
         .withColumn("s", sketch)
-        .select(F.explode(F.array(*[entry(c) for c in columns])).alias("entry"))
-        .select("entry.*")
-        .filter(F.col("slot").isNotNull())
+        .selectExpr(f"inline(array({', '.join(map(entry, columns))}))")
+        .filter("slot IS NOT NULL")
         .groupBy("measure", "slot", "value")
         .agg(F.count("*").alias("n"))
     )
     slots = frequency.groupBy("measure", "slot").agg(F.sum("n").alias("n"))
-    totals = slots.agg(F.collect_list(F.struct("measure", "slot", "n"))).scalar()  # a few slots per column
-
-    def rows_of(entries: Column, column: Column, slot: Column | None = None) -> Column:
-        """All rows of a column, or those in slots below one."""
-        inside = F.filter(entries, lambda t: (t["measure"] == column) & (F.lit(True) if slot is None else t["slot"] < slot))
-        return F.aggregate(inside, F.lit(0).cast("bigint"), lambda total, t: total + t["n"])
-
-    in_order = Window.partitionBy("measure", "slot").orderBy("value")
+    totals = slots.agg(F.expr("collect_list(struct(measure, slot, n))")).scalar()  # a few slots per column
+    # All rows of the column, and those in slots below.
+    rows = "aggregate(filter(t, e -> e.measure = measure {}), 0L, (total, e) -> total + e.n)"
     counted = (
-        frequency.filter(F.col("slot") % 2 == 1)
-        .withColumn("running", F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+        frequency.filter("slot % 2 = 1")
+        .withColumn("running", F.expr("sum(n) OVER (PARTITION BY measure, slot ORDER BY value ROWS UNBOUNDED PRECEDING)"))
         .withColumn("t", totals)
-        .select(
-            "measure",
-            "value",
-            "n",
-            (F.col("running") + rows_of(F.col("t"), F.col("measure"), F.col("slot"))).alias("seen"),
-            rows_of(F.col("t"), F.col("measure")).alias("total"),
-        )
+        .selectExpr("measure", "value", "n", f"running + {rows.format('AND e.slot < slot')} AS seen", f"{rows.format('')} AS total")
     )
 
     def pick(column: str, p: Fraction) -> Column:
-        rank = F.call_function("div", F.col("total") * p.numerator + (p.denominator - 1), F.lit(p.denominator))
-        reached = (F.col("measure") == column) & (F.col("seen") >= F.greatest(rank, F.lit(1)))
-        found = F.min(F.when(reached, F.col("value")))
+        def rank(total: str) -> str:
+            return f"greatest(({total} * {p.numerator}L + {p.denominator - 1}L) div {p.denominator}L, 1L)"
+
+        mine = f"measure = '{column}'"
+        reached = f"{mine} AND seen >= {rank('total')}"
+        found = F.expr(f"min(if({reached}, value, NULL))")
         if merged is None:
             return found
-        below = F.min(F.when(F.col("measure") == column, F.when(reached, F.col("seen") - F.col("n"))))
-        total = F.max(F.when(F.col("measure") == column, F.col("total")))
-        first = F.greatest(F.call_function("div", total * p.numerator + (p.denominator - 1), F.lit(p.denominator)), F.lit(1))
-        inside = found.isNotNull() & (below < first)
-        outside = F.raise_error(F.lit(f"the stored sketches of {column} do not fit its rows"))
+        # Stored sketches must fit: the rank lies behind the values below the bracket. A column without rows has no quantile.
+        fits = F.expr(f"min(if({reached}, seen - n, NULL)) < {rank(f'max(if({mine}, total, NULL))')}")
         empty = slots.agg(F.count_if(F.col("measure") == column)).scalar() == 0
-        return F.when(inside, found).when(empty, F.lit(None)).otherwise(outside.cast(VALUE))
+        wrong = F.raise_error(F.lit(f"the stored sketches of {column} do not fit its rows")).cast(VALUE)
+        return F.when(found.isNotNull() & fits, found).when(empty, F.lit(None)).otherwise(wrong)
 
     types = dict(df.dtypes)
     picked = [pick(c, Fraction(p)).cast(types[c]).alias(name) for name, (c, p) in wanted.items()]
     return counted.agg(F.struct(*picked).alias("q")).scalar()
 
 
-def _slot(value: Column, bounds: Column, brackets: int) -> Column:
+def _slot(value: str, bounds: str, brackets: int) -> str:
     """2 i + 1 in bracket i, 2 i in the gap below it; slots are in the order of their values."""
-    slot = F.when(value < bounds[0], 0)
+    cases = [f"WHEN {value} < {bounds}[0] THEN 0"]
     for i in range(brackets):
-        slot = slot.when(value <= bounds[2 * i + 1], 2 * i + 1)
+        cases.append(f"WHEN {value} <= {bounds}[{2 * i + 1}] THEN {2 * i + 1}")
         if i + 1 < brackets:
-            slot = slot.when(value < bounds[2 * i + 2], 2 * i + 2)
-    return slot.when(value > bounds[2 * brackets - 1], 2 * brackets)
+            cases.append(f"WHEN {value} < {bounds}[{2 * i + 2}] THEN {2 * i + 2}")
+    return f"CASE {' '.join(cases)} WHEN {value} > {bounds}[{2 * brackets - 1}] THEN {2 * brackets} END"
