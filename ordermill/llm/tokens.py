@@ -2,24 +2,39 @@
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 import numpy as np
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+#: The tokenizer's mark of a word's last token, and how it splits a word into pieces, written for words of `COMMON` alone.
+WORD_END = "</w>"
+COMMON = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
 class WordEncoder:
     """Encodes texts with a tokenizer that drops white space and never merges across it.
 
-    For such a tokenizer the ids of a text are those of its words one after another, so a distinct word goes to the library once, many
-    new ones in a call. Only ASCII white space splits here; any other character stays inside a word.
+    For such a tokenizer the ids of a text are those of its words one after another, so each distinct word, and each distinct
+    piece of words of common letters, goes to the library once. Only ASCII white space splits here; any other character stays
+    inside a word. Words with rarer letters or special tokens go through the whole tokenizer; for the rest its
+    normalizer does no more than lower-case.
 
-    Words are remembered in two generations of at most `limit` each: once the younger is full it becomes the older one, and a word of the
-    older that is met again moves to the younger. So frequent words stay and memory is bounded.
+    Words and pieces are remembered in two generations of about `limit` each: once the younger is full it becomes the older one, and what is
+    met again moves to the younger. So what is frequent stays and memory is bounded.
     """
 
-    def __init__(self, path: str, limit: int = 150_000) -> None:
+    def __init__(self, path: str, limit: int = 250_000) -> None:
         self.full = Tokenizer.from_file(path)
+        self.pieces = Tokenizer.from_file(path)
+        self.pieces.normalizer = normalizers.Sequence([])
+        self.pieces.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self.ends = np.zeros(self.full.get_vocab_size(), dtype=bool)
+        self.ends[[i for token, i in self.full.get_vocab().items() if token.endswith(WORD_END)]] = True
         self.limit = limit
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -29,24 +44,43 @@ class WordEncoder:
         split = [(text.lower() if text.isascii() and b"<|" not in text else text).split() for text in texts]
         if len(self.known) > self.limit:
             self.older, self.known = self.known, {}
-        self._learn(set().union(*split).difference(self.known))
+        self._learn(self._unknown(set().union(*split)))
         found = self.known.__getitem__
         return [b"".join(map(found, words)) for words in split]
 
+    def _unknown(self, words: set[bytes]) -> set[bytes]:
+        """Those in neither generation; those of the older one move to the younger."""
+        new = words.difference(self.known)
+        again = new.intersection(self.older)
+        self.known.update(zip(again, map(self.older.__getitem__, again), strict=True))
+        return new.difference(again)
+
     def _learn(self, words: set[bytes]) -> None:
-        older = self.older
-        again = words.intersection(older)
-        self.known.update((word, older[word]) for word in again)
-        new = list(words.difference(again))
+        cut: dict[bytes, list[bytes]] = {}
+        for word in words:
+            text = word.decode()
+            if COMMON.fullmatch(text) and "<|" not in text:
+                cut[word] = [piece.encode() for piece in PIECES.findall(text.lower())]
+            else:
+                self.known[word] = _packed(self.full.encode(text, add_special_tokens=False).ids)
+        new = list(self._unknown({piece for pieces in cut.values() for piece in pieces}))
         if new:
-            encoding = self.full.encode([word.decode() for word in new], is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(encoding.ids, dtype="<u4").tobytes()
-            counts = np.bincount(np.array(encoding.word_ids, dtype=np.int64), minlength=len(new))
-            ends = (4 * np.cumsum(counts)).tolist()
-            self.known.update((word, ids[start:end]) for word, start, end in zip(new, [0, *ends], ends, strict=False))
+            ids = np.array(self.pieces.encode(b" ".join(new).decode(), add_special_tokens=False).ids, dtype="<u4")
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            data = ids.tobytes()
+            bounds = zip([0, *ends.tolist()], ends.tolist(), strict=False)
+            self.known.update((piece, data[start:end]) for piece, (start, end) in zip(new, bounds, strict=True))
+        known = self.known
+        for word, pieces in cut.items():
+            if word not in known:
+                known[word] = b"".join([known[piece] for piece in pieces])
 
 
 @lru_cache(maxsize=1)
 def shared_encoder(path: str) -> WordEncoder:
     """One encoder for all tasks that a Python worker runs one after another, so words are learnt once per worker."""
     return WordEncoder(path)
+
+
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, dtype="<u4").tobytes()
