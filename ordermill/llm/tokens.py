@@ -8,8 +8,10 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-#: The tokenizer's mark of a word's last token, and how it splits a word into pieces, written for words of `COMMON` alone.
+#: The tokenizer's mark of a word's last token, signs that are pieces behind a word of plain letters, and how it splits
+#: a word into pieces, written for words of `COMMON` alone.
 WORD_END = "</w>"
+SIGNS = frozenset((b".", b",", b";", b":", b"!", b"?"))
 COMMON = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
@@ -26,7 +28,7 @@ class WordEncoder:
     met again moves to the younger. So what is frequent stays and memory is bounded.
     """
 
-    def __init__(self, path: str, limit: int = 250_000) -> None:
+    def __init__(self, path: str, limit: int = 600_000) -> None:
         self.full = Tokenizer.from_file(path)
         self.pieces = Tokenizer.from_file(path)
         self.pieces.normalizer = normalizers.Sequence([])
@@ -57,13 +59,21 @@ class WordEncoder:
 
     def _learn(self, words: set[bytes]) -> None:
         cut: dict[bytes, list[bytes]] = {}
+        pieces: set[bytes] = set()
         for word in words:
+            body, end = word[:-1], word[-1:]
+            if end in SIGNS and body.isalpha() and body.islower():
+                cut[word] = [body, end]
+                continue
+            if word.isalpha() and word.islower():
+                pieces.add(word)
+                continue
             text = word.decode()
             if COMMON.fullmatch(text) and "<|" not in text:
                 cut[word] = [piece.encode() for piece in PIECES.findall(text.lower())]
             else:
                 self.known[word] = _packed(self.full.encode(text, add_special_tokens=False).ids)
-        new = list(self._unknown({piece for pieces in cut.values() for piece in pieces}))
+        new = list(self._unknown(pieces.union(*cut.values())))
         if new:
             ids = np.array(self.pieces.encode(b" ".join(new).decode(), add_special_tokens=False).ids, dtype="<u4")
             ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
@@ -71,9 +81,9 @@ class WordEncoder:
             bounds = zip([0, *ends.tolist()], ends.tolist(), strict=False)
             self.known.update((piece, data[start:end]) for piece, (start, end) in zip(new, bounds, strict=True))
         known = self.known
-        for word, pieces in cut.items():
+        for word, parts in cut.items():
             if word not in known:
-                known[word] = b"".join([known[piece] for piece in pieces])
+                known[word] = b"".join([known[part] for part in parts])
 
 
 @lru_cache(maxsize=1)
