@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,20 +79,40 @@ def _typed(name: str, kind: str) -> Column:
     return F.date_format(column.try_cast("timestamp"), ISO_MILLIS) if kind == ISO_MILLIS else column.try_cast(kind)
 
 
+def _lost(columns: Mapping[str, str]) -> dict[str, Column]:
+    """For each column whether its value does not fit its type."""
+    return {c: F.col(c).isNotNull() & F.col(c).try_cast("timestamp" if kind == ISO_MILLIS else kind).isNull() for c, kind in columns.items()}
+
+
+def _listed(parts: Iterable[tuple[Column, Column]], some: Column) -> Column:
+    """The values, of the type of `some`, whose conditions hold.
+
+    `concat` is compiled with the other expressions of a row, `array_compact` of an array of them is not.
+    """
+    nothing = F.slice(F.array(some), 1, 0)
+    return F.concat(nothing, *[F.when(condition, F.array(value)).otherwise(nothing) for condition, value in parts])
+
+
+def _entry(name: Column, text: Column) -> Column:
+    return F.struct(name.alias("k"), text.alias("v"))
+
+
+def _variant(parts: Iterable[tuple[Column, Column, Column]]) -> Column:
+    """The names and texts whose conditions hold as one VARIANT; NULL where none does."""
+    parts = list(parts)
+    entries = _listed([(condition, _entry(name, text)) for condition, name, text in parts], _entry(F.lit(""), F.lit("")))
+    some = reduce(or_, [condition for condition, _, _ in parts], F.lit(False))
+    return F.when(some, F.to_variant_object(F.map_from_entries(entries)))
+
+
 def unreadable(columns: Mapping[str, str]) -> Column:
     """Names of the columns that hold a value which does not fit its type."""
-    checks = [F.when(F.col(c).isNotNull() & _typed(c, kind).isNull(), F.lit(c)) for c, kind in columns.items()]
-    return F.array_compact(F.array(*checks)).alias(UNREADABLE)
+    return _listed([(is_lost, F.lit(c)) for c, is_lost in _lost(columns).items()], F.lit("")).alias(UNREADABLE)
 
 
 def rescued(columns: Mapping[str, str]) -> Column:
     """The source's own texts of the values that do not fit their types, by column, as one VARIANT; NULL where all fit."""
-    lost = [
-        F.when(F.col(c).isNotNull() & _typed(c, kind).isNull(), F.struct(F.lit(c), F.col(c).cast("string")))
-        for c, kind in columns.items()
-    ]
-    entries = F.array_compact(F.array(*lost))
-    return F.when(F.size(entries) > 0, F.to_variant_object(F.map_from_entries(entries))).alias(RESCUED)
+    return _variant((is_lost, F.lit(c), F.col(c).cast("string")) for c, is_lost in _lost(columns).items()).alias(RESCUED)
 
 
 def repaired(df: DataFrame, readers: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
@@ -105,23 +127,17 @@ def repaired(df: DataFrame, readers: Mapping[str, Callable[[Column], Column]]) -
         return F.try_variant_get(F.col(RESCUED), f"$.{column}", "string")
 
     again = {c: F.coalesce(F.col(c), read(text(c)).try_cast(kinds[c])) for c, read in readers.items()}
-    left = [
-        F.when(text(c).isNotNull() & again.get(c, F.lit(None)).isNull(), F.struct(F.lit(c), text(c)))
-        for c in df.columns
-        if c not in (RESCUED, UNREADABLE)
-    ]
-    entries = F.array_compact(F.array(*left))
-    changed = again | {RESCUED: F.when(F.size(entries) > 0, F.to_variant_object(F.map_from_entries(entries)))}
+    some = F.col(RESCUED).isNotNull()  # most rows have none, and nothing is looked up in them
+    left = _variant(
+        (text(c).isNotNull() & again.get(c, F.lit(None)).isNull(), F.lit(c), text(c)) for c in df.columns if c not in (RESCUED, UNREADABLE)
+    )
+    changed = again | {RESCUED: F.when(some, left)}
     if UNREADABLE in df.columns:
-        changed[UNREADABLE] = F.filter(UNREADABLE, lambda name: ~F.exists(_read_again(again, text), lambda done: done == name))
+        read = _listed([(text(c).isNotNull() & value.isNotNull(), F.lit(c)) for c, value in again.items()], F.lit(""))
+        changed[UNREADABLE] = F.when(some, F.array_except(UNREADABLE, read)).otherwise(F.col(UNREADABLE))
     return df.withColumns(changed)
 
 
-def _read_again(again: Mapping[str, Column], text: Callable[[str], Column]) -> Column:
-    """Names of the columns whose rescued text could be read."""
-    return F.array_compact(F.array(*[F.when(text(c).isNotNull() & value.isNotNull(), F.lit(c)) for c, value in again.items()]))
-
-
 def bronze_order_items(raw: DataFrame, trace: bool = False, rescue: bool = False) -> DataFrame:
     """Order lines. Columns without a fixed type may be missing; those with one may not.
 

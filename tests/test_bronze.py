@@ -129,3 +129,11 @@ def test_rescued_values_can_be_read_again(spark):
     assert items.selectExpr("CAST(rescued AS string) AS r").where("r IS NOT NULL").first().r == '{"itemprice":"12,50 EUR","itemquantity":"two"}'
     options = spark.createDataFrame([("o", "1", "abc", "1", "x")], "ORDER_ID string, LINEITEM_ID string, OPTION_PRICE string, OPTION_QUANTITY string, more string")
     assert bronze_order_item_options(options, rescue=True).selectExpr("CAST(rescued AS string) AS r").first().r == '{"optionprice":"abc"}'
+
+
+def test_lists_and_variants_are_compiled(spark):
+    df = bronze_order_items(raw(spark), trace=True, rescue=True)
+    again = repaired(df, {"itemprice": lambda text: F.rtrim(text, F.lit(" EUR"))})
+    for frame in (df, again):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert "lambda" not in plan and "filter(" not in plan
