@@ -23,13 +23,13 @@ def _lanes(flags: np.ndarray) -> np.ndarray:
     return np.packbits(padded, bitorder="little").view("<u8")
 
 
-def pairs_within(groups: np.ndarray, values: np.ndarray, radius: int):
+def pairs_within(groups: np.ndarray, values: np.ndarray, radius: int, most: int = 1 << 14):
     """Yields (i, j, distance) arrays of all pairs of one group that differ in at most `radius` (under 32) bits.
 
     Rows of a group must stand together. Lane i compares row i with row i + d, so one XOR of a plane with itself, moved by d
     lanes, takes a bit of 64 pairs at a time; all d that move the bits alike go together. Differing bits are counted in
     carry-save counters, one word per binary digit; blocks of 64 lanes in which every pair has passed the radius are dropped
-    every eight planes.
+    every eight planes. At most about `most` blocks are compared at a time, as each may give 64 pairs.
     """
     n = len(values)
     if n < 2:
@@ -55,7 +55,7 @@ def pairs_within(groups: np.ndarray, values: np.ndarray, radius: int):
             lanes.append(valid[found])
             steps.append(np.full(len(found), step))
             held += len(found)
-            if held > 500_000:
+            if held > most:
                 yield from _counted(planes, moved, shift, blocks, lanes, steps, radius)
                 blocks, lanes, steps, held = [], [], [], 0
         if held:

@@ -70,6 +70,17 @@ def block_masks(radius: int, spare: int = 1) -> list[int]:
     return [sum(chosen) for chosen in combinations(blocks, spare + 1)]
 
 
+def _block_cells(rows: DataFrame, radius: int) -> DataFrame:
+    """`rows` (..., fp) once in each table of `block_masks`, with the cell that they share with all rows of the same masked bits."""
+    keys = F.array(
+        *[
+            F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask)).alias("key"))
+            for t, mask in enumerate(block_masks(radius))
+        ]
+    )
+    return rows.select(F.explode(keys).alias("key"), *rows.columns).select(F.xxhash64("key").alias("cell"), *rows.columns)
+
+
 def _dealt(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     """`rows` (cell, node, ...) with each cell of `sizes` (cell, parts) in one task, sorted by cell and node.
 
@@ -150,15 +161,7 @@ def simhash_components(
     """
     prints = staged(fingerprints(docs, shingle, id_column, text_column), "fingerprints")
     nodes = prints.groupBy("fp").agg(F.min(id_column).alias("first"))
-    masks = block_masks(radius)
-    keys = F.array(
-        *[
-            F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask)).alias("key"))
-            for t, mask in enumerate(masks)
-        ]
-    )
-    cells = nodes.select(F.explode(keys).alias("key"), "fp").select(F.xxhash64("key").alias("cell"), "fp")
-    roots = connected_components(near_links(cells, "fp", radius), "a", "b")
+    roots = connected_components(near_links(_block_cells(nodes.select("fp"), radius), "fp", radius), "a", "b")
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
@@ -328,15 +331,17 @@ def drop_near_duplicates(
     radius: int = 22,
     bands: int = 20,
     rows: int = 5,
+    near: int = 4,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
     """The rows of `docs` with one document of each group of near copies left, the one with the smallest id.
 
     Two documents are near copies if their sets of word shingles (A-Z in lower case) have a Jaccard similarity of
-    `similarity` or more; groups are what such pairs connect. At 0.8 two SimHashes differ in ten bits on average and in
-    `radius` almost never more, too many for the block masks of a small radius. So documents meet where a band of
-    `rows` smallest hashes agrees (at 0.8 a pair misses all 20 bands with a chance of 0.0004). There SimHashes are compared
+    `similarity` or more; groups are what such pairs connect. SimHashes meet in the tables of `block_masks`, as in `simhash_components`, which
+    finds all that are at most `near` bits apart. At 0.8 two SimHashes differ in ten bits on average and in `radius` almost never more, too
+    many for such tables, so documents also meet where a band of
+    `rows` smallest hashes agrees (at 0.8 a pair misses all 20 bands with a chance of 0.0004). In both SimHashes are compared
     bit-sliced, the nearest links that connect a cell are kept, and the texts at their ends are compared exactly. Cells that these
     leave in several groups are compared once more, all pairs of different groups within the radius, by their shingle sets.
 
@@ -352,7 +357,9 @@ def drop_near_duplicates(
     cells = distinct.select(F.posexplode("bands").alias("band", "key"), "words", "fp").select(
         F.xxhash64("band", "key").alias("cell"), "words", "fp"
     )
-    links = staged(near_links(cells, "words", radius).select("a", "b").distinct(), "candidates")
+    tables = _block_cells(distinct.select("words", "fp"), near)
+    met = near_links(tables, "words", near).unionByName(near_links(cells, "words", radius))
+    links = staged(met.select("a", "b").distinct(), "candidates")
     ends = links.select(F.explode(F.array("a", "b")).alias("words")).distinct()
     first = distinct.join(ends, "words").select("best.*")
     sets = staged(_shingle_sets(keyed.join(first.select(_ID, _KEY), [_ID, _KEY]).select(text_column), shingle), "shingles")

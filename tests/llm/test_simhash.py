@@ -174,3 +174,23 @@ def test_cells_without_pairs_apart_give_no_links():
     cell = np.array([5, 5, 5])
     assert simhash._joined(cell, prints, np.array([0, 0, 1]), sets, 22, 0.8) == []
     assert simhash._joined(cell, prints, np.array([0, 1, 2]), sets, 22, 0.8) == [(0, 1)]
+
+
+def test_near_simhashes_meet_in_block_tables_where_no_band_agrees(spark):
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(5000)}" for _ in range(1500)]
+    rows = [(0, " ".join(base))]
+    for at in range(1, 7):
+        copy = list(base)
+        copy[rng.randrange(1500)] = f"x{at}"
+        rows.append((at, " ".join(copy)))
+    prints = [simhash.fingerprint(np.unique(simhash.shingle_hashes(text.encode(), 5))) for _, text in rows]
+    assert all((prints[0] ^ other).bit_count() <= 4 for other in prints)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert [r.doc_id for r in simhash.drop_near_duplicates(docs, bands=1, rows=2000).collect()] == [0]
+
+
+def test_pairs_come_in_bounded_parts():
+    group, values = np.zeros(3000, dtype=np.int64), np.zeros(3000, dtype="<u8")
+    parts = [len(i) for i, _, _ in pairs_within(group, values, 22)]
+    assert sum(parts) == 3000 * 2999 // 2 and max(parts) <= 64 * ((1 << 14) + 3000)
