@@ -101,7 +101,7 @@ class _Inputs:
     def _late(self, raw: DataFrame) -> DataFrame:
         """Lines that reach the source after the first load: the later lines of the orders of two months."""
         month, line = F.substring("order_id", 1, 7), F.col("lineitem_id")
-        return raw.withColumn("_late", strict_order_date(F.col("order_id")).isNotNull() & month.isin(*LATE_MONTHS) & (line >= 3))
+        return raw.withColumn("_late", month.isin(*LATE_MONTHS) & (line >= 3) & strict_order_date(F.col("order_id")).isNotNull())
 
     def incremented(self, names: str | None = None) -> str:
         """A first load without the late lines, then these as an increment."""

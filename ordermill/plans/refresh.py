@@ -16,7 +16,7 @@ from ordermill.sources import generations
 from ordermill.sources.expectations import Expectation, ExpectationFailed, broken
 from ordermill.sources.generations import MONTH, Manifest, name_of
 from ordermill.sources.schemas import widened
-from ordermill.sources.tables import read_parquet, register_views, write_parquet
+from ordermill.sources.tables import read_parquet, register_views, stage, write_parquet
 
 BRONZE = ("order_items", "order_item_options", "date_dim")
 SILVER = ("order_items", "order_item_options", "order_facts", "order_option_facts", "restaurant_days", "category_months")
@@ -111,16 +111,17 @@ def refresh_increment(
     base = generations.latest(spark, root)
     if batch in base.batches:
         return {}
-    items = bronze.bronze_order_items(new_items, trace=True)
-    options = bronze.bronze_order_item_options(new_options, trace=True)
+    items = stage(bronze.bronze_order_items(new_items, trace=True), "new_items")  # read twice: the source, which may be slow, once
+    options = stage(bronze.bronze_order_item_options(new_options, trace=True), "new_options")
     marks = _marks(items, options)
     changed = {month for source in marks for month in marks[source]}
     marks = {source: generations.added(base.marks[source], marks[source]) for source in marks}
     return _run(items, options, date_dim, root, keep, expect, names, changed, marks, batch, base)
 
 
-def _marks(items: DataFrame, options: DataFrame) -> dict[str, dict[str, list]]:
-    return {"items": generations.fingerprints(items, month_of()), "options": generations.fingerprints(options, month_of())}
+def _marks(items: DataFrame, options: DataFrame, month: Column | None = None) -> dict[str, dict[str, list]]:
+    month = month_of() if month is None else month
+    return {"items": generations.fingerprints(items, month), "options": generations.fingerprints(options, month)}
 
 
 def _in_months(df: DataFrame, months: set[str] | None, month: Column) -> DataFrame:
@@ -174,12 +175,13 @@ def _run(items, options, date_dim, root, keep, expect, names, changed, marks, ba
 
     if batch is None:
         items, options = bronze.bronze_order_items(items, trace=True), bronze.bronze_order_item_options(options, trace=True)
-    items = store_months("bronze/order_items", added("bronze/order_items", items), month_of()).drop(MONTH)
-    options = store_months("bronze/order_item_options", added("bronze/order_item_options", options), month_of()).drop(MONTH)
+    items = store_months("bronze/order_items", added("bronze/order_items", items), month_of())
+    options = store_months("bronze/order_item_options", added("bronze/order_item_options", options), month_of())
     store("bronze/date_dim", date_dim)
     if marks is None:
-        marks = _marks(items, options)
+        marks = _marks(items, options, F.col(MONTH))  # stored rows have their month already
     manifest.marks.update(marks)
+    items, options = items.drop(MONTH), options.drop(MONTH)
 
     dated = F.date_format("order_date", "yyyy-MM")
     lines = store_months("silver/order_items", silver.silver_order_items(items), dated)

@@ -16,6 +16,7 @@ from ordermill.session import file_system
 MONTH = "order_month"
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 CLAIMED = "_CLAIMED"
+PART = (1 << 24) - 1
 #: Publications are files of this folder, one after each generation: `after-00000003` names the generation that follows the third.
 LOG = ".published"
 
@@ -203,12 +204,23 @@ def months_in(spark: SparkSession, folder: str) -> list[str]:
 
 
 def fingerprints(df: DataFrame, month) -> dict[str, list]:
-    """For each month the number of rows and two sums over their hashes: equal for equal rows in any order, and sums of two tables are those of their union."""
-    hashed = F.xxhash64(*[F.col(f"`{name}`") for name in df.columns])
+    """For each month the number of rows and two sums over their hashes: equal for equal rows in any order, and sums of two tables are those of their union.
+
+    The month column of a stored table is no part of a row.
+    """
+    hashed = F.xxhash64(*[F.col(f"`{name}`") for name in df.columns if name != MONTH])
+    # Three sums of parts of the hash, put together here, take whole numbers where one sum would take a decimal for each row.
+    low, middle = hashed.bitwiseAND(F.lit(PART)), F.shiftright(hashed, 24).bitwiseAND(F.lit(PART))
     rows = df.groupBy(month.alias("month")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(hashed.cast("decimal(38,0)")).cast("string").alias("sum"), F.bit_xor(hashed).alias("xor")
+        F.count(F.lit(1)).alias("n"),
+        F.sum(low).alias("low"),
+        F.sum(middle).alias("middle"),
+        F.sum(F.shiftright(hashed, 48)).alias("high"),
+        F.bit_xor(hashed).alias("xor"),
     )
-    return {month_name(row.month): [row.n, row.sum, row.xor] for row in rows.collect()}
+    return {
+        month_name(row.month): [row.n, str((row.high << 48) + (row.middle << 24) + row.low), row.xor] for row in rows.collect()
+    }
 
 
 def added(left: Mapping[str, list], right: Mapping[str, list]) -> dict[str, list]:

@@ -161,3 +161,11 @@ def test_widening():
     for other in ("a string", "b decimal(10,4)", "b decimal(9,2)", "c int", "a smallint"):
         with pytest.raises(SchemaNarrowed):
             widened(old, StructType.fromDDL(other))
+
+
+def test_fingerprints_are_exact_sums_and_leave_the_month_folder_out(spark):
+    df = spark.range(500).select(F.col("id").alias("orderid"), F.lit("1997-03").alias(generations.MONTH))
+    hashes = [r[0] for r in df.select(F.xxhash64("orderid")).collect()]
+    found = generations.fingerprints(df, F.col(generations.MONTH))
+    assert min(hashes) < 0 < max(hashes)
+    assert found["1997-03"][:2] == [500, str(sum(hashes))]
