@@ -12,6 +12,7 @@ from ordermill.functions.order_time import strict_order_date
 from ordermill.plans import bronze, gold, silver
 from ordermill.plans.activity import restaurant_days
 from ordermill.plans.summary import kpi_cards, kpi_summary
+from ordermill.session import for_writes
 from ordermill.sources import generations
 from ordermill.sources.expectations import Expectation, ExpectationFailed, broken
 from ordermill.sources.generations import MONTH, Manifest, name_of
@@ -130,6 +131,11 @@ def _in_months(df: DataFrame, months: set[str] | None, month: Column) -> DataFra
 
 def _run(items, options, date_dim, root, keep, expect, names, changed, marks, batch=None, base=None) -> dict[str, dict[str, int]]:
     """One run. `changed`: the months to write, None for all. With a batch, `items` and `options` are bronze rows to add to the base generation."""
+    with for_writes(items.sparkSession):
+        return _write_all(items, options, date_dim, root, keep, expect, names, changed, marks, batch, base)
+
+
+def _write_all(items, options, date_dim, root, keep, expect, names, changed, marks, batch, base) -> dict[str, dict[str, int]]:
     spark = items.sparkSession
     numbers = generations.published(spark, root)
     base = base or (generations.latest(spark, root) if numbers else Manifest(0, 0))
@@ -152,9 +158,14 @@ def _run(items, options, date_dim, root, keep, expect, names, changed, marks, ba
         tables[table] = {"schema": df.schema.json(), "months": {"": number}}
         return read_parquet(spark, f"{target}/{table}")
 
-    def store_months(table: str, df: DataFrame, month: Column) -> DataFrame:
-        """The rows of the changed months, one folder each; the result is these rows. The other months stay where they are."""
-        rows = df.select(*[c for c in df.columns if c != MONTH], month.alias(MONTH)).hint("rebalance", MONTH)  # large months stay several files
+    def store_months(table: str, df: DataFrame, month: Column, filed: bool = False) -> DataFrame:
+        """The rows of the changed months, one folder each; the result is these rows. The other months stay where they are.
+
+        `filed`: each row is one of a stored table and of its month, so a task that reads a few files has rows of a few months, and none need to move.
+        """
+        rows = df.select(*[c for c in df.columns if c != MONTH], month.alias(MONTH))
+        if not filed:
+            rows = rows.hint("rebalance", MONTH)  # large months stay several files
         known = carried.schema_of(table) if table in carried.tables else None
         schema = widened(known, rows.schema, table) if known else rows.schema
         write(table, rows, (MONTH,))
@@ -184,8 +195,8 @@ def _run(items, options, date_dim, root, keep, expect, names, changed, marks, ba
     items, options = items.drop(MONTH), options.drop(MONTH)
 
     dated = F.date_format("order_date", "yyyy-MM")
-    lines = store_months("silver/order_items", silver.silver_order_items(items), dated)
-    store_months("silver/order_item_options", silver.silver_order_item_options(options), month_of())
+    lines = store_months("silver/order_items", silver.silver_order_items(items), dated, filed=True)
+    store_months("silver/order_item_options", silver.silver_order_item_options(options), month_of(), filed=True)
     facts = store_months("silver/order_facts", silver.order_facts(lines), dated)
     store_months("silver/order_option_facts", silver.order_option_facts(options), month_of())
     days = store_months("silver/restaurant_days", restaurant_days(facts), dated)
@@ -198,6 +209,7 @@ def _run(items, options, date_dim, root, keep, expect, names, changed, marks, ba
     all_days = whole("silver/restaurant_days")
     store("gold/cohort", gold.cohort(all_days))
     cards = kpi_cards(whole("silver/order_facts"), whole("silver/order_option_facts"), all_days, whole("gold/daily_clv"))
+    cards = {name: stage(card, f"card_{name}") for name, card in cards.items()}  # one row each: a report's shuffle files go before the next report's come
     store("gold/kpi_summary", kpi_summary(cards))
 
     generations.publish(spark, root, manifest)

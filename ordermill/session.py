@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 _made: set[str] = set()
 
+#: Settings of runs that write many tables: a query's shuffle files go when it ends, not when the driver happens to collect garbage, and a task
+#: that has rows of a few folders only writes them as they come, without a sort that spills.
+WRITES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.maxConcurrentOutputFileWriters": "32"}
+
 
 def build_session(app_name: str = "ordermill", master: str | None = None, **conf: object) -> SparkSession:
     """A session with a UTC clock and adaptive execution.
@@ -39,6 +45,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def for_writes(spark: SparkSession) -> Iterator[None]:
+    """The settings `WRITES` for a while; afterwards the session has its own again."""
+    before = {key: spark.conf.get(key, None) for key in WRITES}
+    for key, value in WRITES.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for tables between jobs, as named by `spark.checkpoint.dir`; without it, one in the warehouse.
 

@@ -22,10 +22,11 @@ def write_parquet(
     """Write a table and return its audit: rows written, NULLs per column, and rows that fail each expectation (`fails_<name>`).
 
     The counts are taken while the rows pass to the writer, so the write is the only job.
-    With `partition_by`, an overwrite replaces only the partitions that `df` has rows for.
+    With `partition_by`, an overwrite replaces only the partitions that `df` has rows for. Files are compressed by zstd, as ids and times are
+    long texts.
     """
     audit = Observation(f"write-{uuid.uuid4().hex}")
-    writer = df.observe(audit, F.count(F.lit(1)).alias("rows"), *_null_counts(df), *measures(expect)).write.mode(mode)
+    writer = df.observe(audit, F.count(F.lit(1)).alias("rows"), *_null_counts(df), *measures(expect)).write.mode(mode).option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)

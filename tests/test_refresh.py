@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 
 from ordermill.plans import gold, refresh
@@ -99,3 +101,33 @@ def test_external_tables_are_read_by_another_session(spark, run):
     for name in names:
         spark.sql(f"DROP TABLE {name}")
     assert refresh.open_tables(spark, root)["gold/cohort"].count() == audits["gold/cohort"]["rows"]
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for at in range(files.size()) if (name := files.apply(at).getName()).startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_each_write_and_stored_lines_are_not_moved(spark, small, tmp_path, monkeypatch):
+    before, left, plans = shuffle_files(spark), {}, {}
+    write = refresh.write_parquet
+
+    def watched(df, path, *args, **kwargs):
+        table = "/".join(path.split("/")[-2:])
+        plans[table] = df._jdf.queryExecution().optimizedPlan().toString()
+        audit = write(df, path, *args, **kwargs)
+        until = time.time() + 0.5
+        while (found := shuffle_files(spark) - before) and time.time() < until:
+            time.sleep(0.1)
+        left[table] = len(found)
+        return audit
+
+    monkeypatch.setattr(refresh, "write_parquet", watched)
+    keys = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.maxConcurrentOutputFileWriters")
+    settings = [spark.conf.get(key, None) for key in keys]
+    refresh.refresh(*inputs(spark, small), str(tmp_path / "lake"))
+    assert left == dict.fromkeys(refresh.TABLES, 0)
+    moved = {table for table, plan in plans.items() if "RebalancePartitions" in plan}
+    assert moved == set(refresh.MONTHLY) - {"silver/order_items", "silver/order_item_options"}
+    assert "Aggregate" not in plans["gold/kpi_summary"]
+    assert [spark.conf.get(key, None) for key in keys] == settings
