@@ -328,9 +328,9 @@ def drop_near_duplicates(
     docs: DataFrame,
     shingle: int = 5,
     similarity: float = 0.8,
-    radius: int = 22,
-    bands: int = 20,
-    rows: int = 5,
+    radius: int = 31,
+    bands: int = 25,
+    rows: int = 4,
     near: int = 4,
     id_column: str = "doc_id",
     text_column: str = "text",
@@ -339,11 +339,11 @@ def drop_near_duplicates(
 
     Two documents are near copies if their sets of word shingles (A-Z in lower case) have a Jaccard similarity of
     `similarity` or more; groups are what such pairs connect. SimHashes meet in the tables of `block_masks`, as in `simhash_components`, which
-    finds all that are at most `near` bits apart. At 0.8 two SimHashes differ in ten bits on average and in `radius` almost never more, too
-    many for such tables, so documents also meet where a band of
-    `rows` smallest hashes agrees (at 0.8 a pair misses all 20 bands with a chance of 0.0004). In both SimHashes are compared
-    bit-sliced, the nearest links that connect a cell are kept, and the texts at their ends are compared exactly. Cells that these
-    leave in several groups are compared once more, all pairs of different groups within the radius, by their shingle sets.
+    finds all that are at most `near` bits apart. At 0.8 two SimHashes differ in ten bits on average, too many for such tables, and in over `radius` with
+    a chance of 1e-10, 2e-8 for texts of four or five shingles (over 22 bits: 0.00003 and 0.0009). So documents also meet where a band of
+    `rows` smallest hashes agrees (at 0.8 a pair misses all 25 bands with a chance of 0.000002). In both SimHashes are compared
+    bit-sliced, the nearest links that connect a cell are kept, and the texts at their ends are compared exactly. Cells of tables and bands that
+    these leave in several groups are compared once more, all pairs of different groups within `near` or the radius, by their shingle sets.
 
     Texts with the same words in the same order are one node from the start. Null and empty texts are copies of each
     other. Of rows that repeat both id and text one stays; rows that share an id but not the text are separate documents.
@@ -368,10 +368,13 @@ def drop_near_duplicates(
         .join(sets.select(F.col("words").alias("b"), F.col("shingles").alias("right")), "b")
     )
     roots = connected_components(_similar(pairs, similarity), "a", "b")
-    rooted = cells.join(ends, "words", "left_semi").join(roots, F.col("words") == F.col("node"), "left").select(
-        "cell", F.col("words").alias("node"), "fp", F.coalesce("root", "words").alias("root")
-    )
-    missed = staged(_missed_links(rooted, sets, radius, similarity).distinct(), "missed")
+    named = ends.join(roots, F.col("words") == F.col("node"), "left").select("words", F.coalesce("root", "words").alias("root"))
+
+    def missed_in(cells: DataFrame, radius: int) -> DataFrame:
+        rooted = cells.join(named, "words").select("cell", F.col("words").alias("node"), "fp", "root")
+        return _missed_links(rooted, sets, radius, similarity)
+
+    missed = staged(missed_in(cells, radius).unionByName(missed_in(tables, near)).distinct(), "missed")
     if not missed.isEmpty():
         roots = connected_components(missed.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))), "a", "b")
     groups = sketches.groupBy("words").agg(best).join(roots, F.col("words") == F.col("node"), "left")

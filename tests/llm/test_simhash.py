@@ -190,6 +190,46 @@ def test_near_simhashes_meet_in_block_tables_where_no_band_agrees(spark):
     assert [r.doc_id for r in simhash.drop_near_duplicates(docs, bands=1, rows=2000).collect()] == [0]
 
 
+def distinct_print(text):
+    return simhash.fingerprint(np.unique(simhash.shingle_hashes(text.encode(), 5)))
+
+
+def test_block_tables_lose_no_similar_pair_where_no_band_agrees(spark):
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+
+    def edited(words, n):
+        words = list(words)
+        for at in rng.sample(range(len(words)), n):
+            words[at] = f"x{rng.randrange(10**6)}"
+        return words
+
+    texts = [edited(base, 4) for _ in range(120)]
+    texts = [" ".join(text) for text in texts + [edited(text, 3) for text in texts[::10]]]
+    prints, sets = [distinct_print(text) for text in texts], [shingles(text) for text in texts]
+    links = [
+        (a, b)
+        for a in range(len(texts))
+        for b in range(a)
+        if (prints[a] ^ prints[b]).bit_count() <= 12 and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    ]
+    kept = sorted(set(roots(range(len(texts)), links).values()))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in simhash.drop_near_duplicates(docs, bands=1, rows=2000, near=12).collect()) == kept
+
+
+def test_short_similar_texts_may_have_distant_simhashes(spark):
+    rng = random.Random(8)
+    rows = []
+    while len(rows) < 4:
+        words = [f"w{rng.randrange(10**6)}" for _ in range(9)]
+        pair = [" ".join(words[:8]), " ".join(words)]
+        if (distinct_print(pair[0]) ^ distinct_print(pair[1])).bit_count() > 22:
+            rows += [(len(rows) + at, text) for at, text in enumerate(pair)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted((False, r.doc_id) for r in simhash.drop_near_duplicates(docs).collect()) == kept_plainly(rows) == [(False, 0), (False, 2)]
+
+
 def test_pairs_come_in_bounded_parts():
     group, values = np.zeros(3000, dtype=np.int64), np.zeros(3000, dtype="<u8")
     parts = [len(i) for i, _, _ in pairs_within(group, values, 22, most=100)]
